@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,27 +11,28 @@ TOP_SESSIONS = 10
 _COUNTS = ("click_count", "order_count", "pay_count")
 
 
-def _touched(ids: Column, kind: str) -> Column:
-    tagged = F.transform(ids, lambda i: F.struct(i.alias("category_id"), F.lit(kind).alias("kind")))
-    return F.coalesce(tagged, F.expr("cast(array() as array<struct<category_id: bigint, kind: string>>)"))
-
-
 def session_categories(actions: DataFrame) -> DataFrame:
     """Clicks, orders and payments per (session, category), in one pass over the actions.
 
     Everything about categories is computed from this frame. It is aggregated before any join, so a
     session holding a large share of the log enters the joins as one row per category.
     """
-    clicked = F.when(F.col("click_category_id").isNotNull(), F.array("click_category_id"))
-    touched = F.concat(
-        _touched(clicked, "click"),
-        _touched(F.col("order_category_ids"), "order"),
-        _touched(F.col("pay_category_ids"), "pay"),
+    none = F.array().cast("array<bigint>")
+    clicked = F.when(F.col("click_category_id").isNotNull(), F.array("click_category_id")).otherwise(none)
+    ordered = F.coalesce("order_category_ids", none)
+    paid = F.coalesce("pay_category_ids", none)
+    # One list of plain ids per action; an id's place in it tells whether it was clicked, ordered or paid.
+    touched = actions.select(
+        "session_id",
+        F.size(clicked).alias("clicked"),
+        (F.size(clicked) + F.size(ordered)).alias("clicked_or_ordered"),
+        F.posexplode(F.concat(clicked, ordered, paid)).alias("place", "category_id"),
     )
-    return (
-        actions.select("session_id", F.explode(touched).alias("t"))
-        .groupBy("session_id", "t.category_id")
-        .agg(*(F.count_if(F.col("t.kind") == name.removesuffix("_count")).alias(name) for name in _COUNTS))
+    place, clicks, orders = F.col("place"), F.col("clicked"), F.col("clicked_or_ordered")
+    return touched.groupBy("session_id", "category_id").agg(
+        F.count_if(place < clicks).alias("click_count"),
+        F.count_if((place >= clicks) & (place < orders)).alias("order_count"),
+        F.count_if(place >= orders).alias("pay_count"),
     )
 
 

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from clickloom.functions.values import as_text
 from clickloom.operators import ads, categories, sampling, sessions, stats, upsert
 from clickloom.params import TaskParams
+from clickloom.plans.daily_ads import DailyAds, daily_ads
 from clickloom.plans.session_task import SessionTables, run_session_task
 from clickloom.schemas import schema_of
-from clickloom.session import scratch_path
+from clickloom.session import scratch_path, stored
 from clickloom.sinks.tables import ParquetTables
 from clickloom.sources.adlog import file_lines, parse_ad_log
 from clickloom.sources.fixtures import AD_THRESHOLD, FIRST_DAY, LAST_DAY, Fixtures
@@ -33,8 +34,8 @@ PICKY = TaskParams(
     professionals=("BUILDING", "MACHINERY", "HOUSEHOLD"),
     cities=tuple(f"NATION_{i}" for i in range(18)),
     sex="male",
-    keywords=("kw1", "kw2"),
-    category_ids=(1, 3, 15, 27, 40, 55, 68, 81),
+    keywords=("kw1", "kw2", "kw5"),
+    category_ids=tuple(range(10, 40)),
 )
 EXTRACT_TOTAL, EXTRACT_SEED = 3000, 7
 SPLIT_DAY, OVERLAP_DAY = "2024-01-16", "2024-01-11"
@@ -61,6 +62,10 @@ def _wanted(fx: Fixtures, params: TaskParams = ALL_DAYS) -> DataFrame:
     return sessions.wanted_sessions(_actions(fx, params), fx.users(), params)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    return stored(df, scratch_path(df.sparkSession, name))
+
+
 def _pairs(fx: Fixtures) -> DataFrame:
     return categories.of_sessions(categories.session_categories(_actions(fx)), _wanted(fx))
 
@@ -69,12 +74,8 @@ def _clicks(fx: Fixtures) -> DataFrame:
     return parse_ad_log(fx.ad_lines())
 
 
-def _blacklist(fx: Fixtures) -> DataFrame:
-    return ads.over_clicking_users(ads.user_click_counts(_clicks(fx)), AD_THRESHOLD)
-
-
-def _allowed(fx: Fixtures) -> DataFrame:
-    return ads.without_users(_clicks(fx), _blacklist(fx))
+def _daily(fx: Fixtures) -> DailyAds:
+    return daily_ads(_clicks(fx), AD_THRESHOLD)
 
 
 # Sessions
@@ -134,7 +135,7 @@ def top10_category(fx: Fixtures) -> DataFrame:
 
 
 def _top_sessions(fx: Fixtures) -> DataFrame:
-    pairs = _pairs(fx)
+    pairs = _stored(_pairs(fx), "pairs")
     return categories.top_sessions(pairs, categories.top_categories(categories.category_counts(pairs)))
 
 
@@ -145,7 +146,7 @@ def top10_session(fx: Fixtures) -> DataFrame:
 
 @_query
 def top10_session_detail(fx: Fixtures) -> DataFrame:
-    return sessions.actions_of(_actions(fx), _top_sessions(fx))
+    return sessions.actions_of(_actions(fx), _stored(_top_sessions(fx), "busiest"))
 
 
 # Extraction
@@ -162,7 +163,8 @@ def session_quota(fx: Fixtures) -> DataFrame:
 
 
 def _extracted(fx: Fixtures) -> DataFrame:
-    return sampling.extract_sessions(_wanted(fx), EXTRACT_TOTAL, EXTRACT_SEED)
+    wanted = _stored(_wanted(fx), "wanted")
+    return _stored(sampling.extract_sessions(wanted, EXTRACT_TOTAL, EXTRACT_SEED), "extracted")
 
 
 @_query
@@ -221,27 +223,27 @@ def ad_user_click_count(fx: Fixtures) -> DataFrame:
 
 @_query
 def ad_blacklist(fx: Fixtures) -> DataFrame:
-    return _blacklist(fx)
+    return _daily(fx).blacklist
 
 
 @_query
 def ad_filtered_clicks(fx: Fixtures) -> DataFrame:
-    return _allowed(fx)
+    return ads.without_users(_clicks(fx), _daily(fx).blacklist)
 
 
 @_query
 def ad_stat(fx: Fixtures) -> DataFrame:
-    return ads.city_click_counts(_allowed(fx))
+    return _daily(fx).city_counts
 
 
 @_query
 def ad_province_click_count(fx: Fixtures) -> DataFrame:
-    return ads.province_click_counts(ads.city_click_counts(_allowed(fx)))
+    return ads.province_click_counts(_daily(fx).city_counts)
 
 
 @_query
 def ad_province_top3(fx: Fixtures) -> DataFrame:
-    return ads.province_top_ads(ads.province_click_counts(_allowed(fx)))
+    return _daily(fx).province_top
 
 
 @_query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import categories, sampling, sessions, stats
 from clickloom.params import DEFAULT_EXTRACT_TOTAL, TaskParams
-from clickloom.session import scratch_path
+from clickloom.session import scratch_path, stored
 from clickloom.sinks.tables import ParquetTables
 from clickloom.sources.tables import find_task, scan_actions
 
@@ -23,13 +23,6 @@ class SessionTables:
     tasks: DataFrame
 
 
-def _kept(df: DataFrame, root: str, name: str) -> DataFrame:
-    """``df`` as a written table: computed once, safe from lost executors, and of a size Spark knows."""
-    path = f"{root}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def run_session_task(
     spark: SparkSession,
     task_id: int,
@@ -47,33 +40,29 @@ def run_session_task(
     actions = scan_actions(tables.action_log, params)
     scratch = scratch_path(spark, f"session-task-{task_id}")
 
-    wanted = _kept(sessions.wanted_sessions(actions, tables.users, params), scratch, "wanted")
+    wanted = stored(sessions.wanted_sessions(actions, tables.users, params), f"{scratch}/wanted")
     results.write_task_rows(stats.session_aggr_stat(wanted), "session_aggr_stat", task_id)
 
-    pairs = _kept(
-        categories.of_sessions(categories.session_categories(actions), wanted), scratch, "pairs"
-    )
-    hottest = _kept(categories.top_categories(categories.category_counts(pairs)), scratch, "hottest")
+    pairs = categories.of_sessions(categories.session_categories(actions), wanted)
+    pairs = stored(pairs, f"{scratch}/pairs")
+    hottest = stored(categories.top_categories(categories.category_counts(pairs)), f"{scratch}/hottest")
     results.write_task_rows(hottest, "top10_category", task_id)
-    busiest = _kept(categories.top_sessions(pairs, hottest), scratch, "busiest")
+    busiest = stored(categories.top_sessions(pairs, hottest), f"{scratch}/busiest")
     results.write_task_rows(busiest, "top10_session", task_id)
 
-    extracted = _kept(sampling.extract_sessions(wanted, extract_total, seed), scratch, "extracted")
-    picked = _kept(
-        extracted.select("session_id", F.lit("extract").alias("source")).unionByName(
-            busiest.select("session_id", F.lit("top10").alias("source")).distinct()
-        ),
-        scratch,
-        "picked",
+    draws = sampling.session_draws(wanted, seed)
+    cuts = stored(sampling.extract_cuts(draws, extract_total), f"{scratch}/cuts")
+    extracted = stored(sampling.random_extract(draws, cuts), f"{scratch}/extracted")
+    picked = extracted.select("session_id", F.lit("extract").alias("source")).unionByName(
+        busiest.select("session_id", F.lit("top10").alias("source")).distinct()
     )
     # (session_id, source) is unique, so each action appears once per source.
-    detail = actions.join(picked, "session_id").select("source", *sessions.DETAIL_COLUMNS)
+    detail = actions.join(stored(picked, f"{scratch}/picked"), "session_id")
     results.write_task_rows(detail, "session_detail", task_id, by=("source",))
 
     written = results.read(spark, "session_detail").where(
         (F.col("task_id") == task_id) & (F.col("source") == "extract")
     )
-    results.write_task_rows(
-        sampling.extract_report(extracted, written), "session_random_extract", task_id
-    )
+    report = sampling.extract_report(extracted, written)
+    results.write_task_rows(report, "session_random_extract", task_id)
     return params

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "clickloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,3 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="clickloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a written table, for a frame that is used more than once.
+
+    It is computed once, survives lost executors, and from its files Spark knows its size when it
+    chooses a join.
+    """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from clickloom.functions import times
 
 FIELDS = ("millis", "province", "city", "user_id", "ad_id")  # fixed order of a line's fields
+# Fixed value: a line with its numbers in place and inside 64 bits; anything after the fifth field is ignored.
+READABLE = r"^[+-]?\d{1,18} [^ ]* [^ ]* [+-]?\d{1,18} [+-]?\d{1,18}( |$)"
 
 
 def kafka_lines(spark: SparkSession, brokers: str, topics: str, **options: str) -> DataFrame:
@@ -22,30 +24,25 @@ def file_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.options(**options).text(path).select(F.col("value").alias("line"))
 
 
-def _fields(lines: DataFrame) -> DataFrame:
-    parts = F.split("line", " ")
-    numbers = {"millis", "user_id", "ad_id"}
-    fields = {name: F.get(parts, i) for i, name in enumerate(FIELDS)}
-    return lines.select(
-        *((c.try_cast("bigint") if name in numbers else c).alias(name) for name, c in fields.items())
-    )
-
-
 def parse_ad_log(lines: DataFrame, metrics: str | None = None) -> DataFrame:
     """Typed clicks from ``line``. Lines that are short or whose numbers do not read are dropped.
 
     With ``metrics`` the numbers of lines and of dropped lines are observed under that name; a stream
     reports them in its progress.
     """
-    fields = _fields(lines)
-    readable = F.lit(True)
-    for name in FIELDS:
-        readable = readable & F.col(name).isNotNull()
+    readable = F.col("line").rlike(READABLE)
     if metrics is not None:
-        fields = fields.observe(
-            metrics, F.count(F.lit(1)).alias("lines"), F.count_if(~readable).alias("dropped")
-        )
-    clicks = fields.where(readable).withColumn("click_time", times.from_epoch_millis(F.col("millis")))
+        lines = lines.observe(metrics, F.count(F.lit(1)).alias("lines"), F.count_if(~readable).alias("dropped"))
+    # One pattern decides on the raw line, so that the line is split once and only when it is kept.
+    parts = F.split("line", " ")
+    field = {name: F.get(parts, i) for i, name in enumerate(FIELDS)}
+    clicks = lines.where(readable).select(
+        times.from_epoch_millis(field["millis"].cast("bigint")).alias("click_time"),
+        field["province"].alias("province"),
+        field["city"].alias("city"),
+        field["user_id"].cast("bigint").alias("user_id"),
+        field["ad_id"].cast("bigint").alias("ad_id"),
+    )
     return clicks.select(
         "click_time", F.to_date("click_time").alias("date"), "province", "city", "user_id", "ad_id"
     )

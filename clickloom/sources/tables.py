@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StructField
 
 from clickloom.functions import times
 from clickloom.functions.values import clicked_id, id_list
 from clickloom.params import TaskParams
-from clickloom.schemas import conform, schema_of
+from clickloom.schemas import schema_of
 
 
 def read_table(spark: SparkSession, source: str) -> DataFrame:
@@ -41,19 +41,21 @@ def typed_actions(log: DataFrame) -> DataFrame:
 
     Columns that are typed already are taken as they are.
     """
-    target = schema_of("user_visit_action")
+    stored = log.schema
 
-    def typed(name: str) -> Column:
-        column, have, want = F.col(name), log.schema[name].dataType, target[name].dataType
+    def typed(field: StructField) -> Column | str:
+        name, kind = field.name, stored[field.name].dataType
         if name.startswith("click_"):
-            return clicked_id(column)
-        if have == want or have.typeName() != "string":
-            return column
-        if isinstance(want, ArrayType):
-            return id_list(column)
-        return times.parse_time(column) if name == "action_time" else column
-
-    return conform(log.select(*(typed(f.name).alias(f.name) for f in target)), "user_visit_action")
+            return clicked_id(F.col(name)).alias(name)
+        if kind == field.dataType:
+            return name
+        if isinstance(field.dataType, ArrayType):
+            return id_list(F.col(name)).alias(name)
+        if name == "action_time":
+            return times.parse_time(F.col(name)).alias(name)
+        return F.col(name).cast(field.dataType).alias(name)
+
+    return log.select(*(typed(field) for field in schema_of("user_visit_action")))
 
 
 def scan_actions(log: DataFrame, params: TaskParams) -> DataFrame:

@@ -53,15 +53,14 @@ class ClickStream:
             self.city_counts.write(ads.city_click_counts(cells), batch_id)
             # As many as the batch has days: one or two in a live stream.
             dates = [str(row.date) for row in cells.select("date").distinct().toLocalIterator()]
-            users = cells.select("date", "user_id", "ad_id").distinct()
-            places = cells.select("date", "province").distinct()
-
-            totals = self.user_counts.totals(batch_id, dates, among=users)
+            clicked = cells.select("date", "user_id", "ad_id").distinct()
+            totals = self.user_counts.totals(batch_id, dates, among=clicked)
             self.banned.write(ads.over_clicking_users(totals, self.threshold), batch_id)
 
-            city_totals = self.city_counts.totals(batch_id, dates, among=places)
+            # All provinces of the batch's days are ranked anew, so that a day is one group to replace.
+            city_totals = self.city_counts.totals(batch_id, dates)
             top = ads.province_top_ads(ads.province_click_counts(city_totals))
-            self.results.replace_groups(top, "ad_province_top3", ("date", "province"))
+            self.results.replace_groups(top, "ad_province_top3", ("date",))
         finally:
             cells.unpersist()
 
