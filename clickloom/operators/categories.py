@@ -59,8 +59,11 @@ def category_session_clicks(pairs: DataFrame) -> DataFrame:
 def top_sessions(pairs: DataFrame, hottest: DataFrame, n: int = TOP_SESSIONS) -> DataFrame:
     """The ``n`` sessions with most clicks in each hot category; the smaller session id wins a tie.
 
-    The literal rank bound lets Spark keep ``n`` rows per category in every map task before the shuffle.
+    ``hottest`` comes from ``top_categories``, whose limit bounds what is broadcast. The pairs are then
+    filtered where they are, and the literal rank bound lets Spark keep ``n`` rows per category in every
+    map task before the shuffle.
     """
     rank = F.row_number().over(W.partitionBy("category_id").orderBy(F.desc("click_count"), "session_id"))
-    clicks = category_session_clicks(pairs).join(hottest.select("category_id"), "category_id", "left_semi")
+    hot_ids = F.broadcast(hottest.select("category_id"))
+    clicks = category_session_clicks(pairs).join(hot_ids, "category_id", "left_semi")
     return clicks.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
