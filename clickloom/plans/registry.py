@@ -305,14 +305,8 @@ def _replayed(fx: Fixtures) -> ClickStream:
 @_query
 def ad_stream_tables(fx: Fixtures) -> DataFrame:
     """Replay the log through the blacklist loop; the tables it leaves as rows of (table, key, click_count)."""
-    stream = _replayed(fx)
-    last = STREAM_SLICES - 1
-    frames = {
-        "ad_user_click_count": stream.user_counts.totals(last),
-        "ad_stat": stream.city_counts.totals(last),
-        "ad_province_top3": stream.results.read(fx.spark, "ad_province_top3"),
-        "ad_blacklist": stream.banned.before(last + 1).withColumn("click_count", F.lit(None).cast("bigint")),
-    }
+    frames = _replayed(fx).tables()
+    frames["ad_blacklist"] = frames["ad_blacklist"].withColumn("click_count", F.lit(None).cast("bigint"))
     parts = [
         df.select(
             F.lit(table).alias("table_name"),
@@ -335,7 +329,7 @@ def ad_stream_trend(fx: Fixtures) -> DataFrame:
         streams.append(stream)
 
     _in_slices(fx, root, run)
-    return streams[-1].counts.totals(STREAM_SLICES - 1)
+    return streams[-1].table()
 
 
 @_query
@@ -349,4 +343,4 @@ def ad_stream_running_stat(fx: Fixtures) -> DataFrame:
         streams.append(stream)
 
     _in_slices(fx, root, run)
-    return streams[-1].counts.totals(STREAM_SLICES - 1)
+    return streams[-1].table()

@@ -8,13 +8,17 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickloom.operators import ads
 from clickloom.sinks.tables import ParquetTables
-from clickloom.streaming.state import FOLD_EVERY, BannedUsers, DailyCounts
+from clickloom.streaming.state import FOLD_EVERY, BannedUsers, DailyCounts, last_batch
 
 BATCH_INTERVAL = "5 seconds"
 
 
+def _checkpoint(root: str) -> str:
+    return f"{root}/checkpoint"
+
+
 def _started(writer: DataStreamWriter, root: str, available_now: bool) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", f"{root}/checkpoint")
+    writer = writer.option("checkpointLocation", _checkpoint(root))
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=BATCH_INTERVAL).start()
@@ -52,7 +56,7 @@ class ClickStream:
             self.user_counts.write(ads.user_click_counts(cells), batch_id)
             self.city_counts.write(ads.city_click_counts(cells), batch_id)
             # As many as the batch has days: one or two in a live stream.
-            dates = [str(row.date) for row in cells.select("date").distinct().toLocalIterator()]
+            dates = [str(row.date) for row in cells.select("date").distinct().collect()]
             clicked = cells.select("date", "user_id", "ad_id").distinct()
             totals = self.user_counts.totals(batch_id, dates, among=clicked)
             self.banned.write(ads.over_clicking_users(totals, self.threshold), batch_id)
@@ -67,6 +71,16 @@ class ClickStream:
     def start(self, clicks: DataFrame, available_now: bool = False) -> StreamingQuery:
         return _started(clicks.writeStream.foreachBatch(self.process), self.root, available_now)
 
+    def tables(self) -> dict[str, DataFrame]:
+        """The tables as the last finished batch left them."""
+        last = last_batch(self.spark, _checkpoint(self.root))
+        return {
+            "ad_blacklist": self.banned.after(last),
+            "ad_user_click_count": self.user_counts.totals(last),
+            "ad_stat": self.city_counts.totals(last),
+            "ad_province_top3": self.results.read(self.spark, "ad_province_top3"),
+        }
+
 
 class CountStream:
     """A running count kept in Spark's streaming state, its changed rows stored batch by batch.
@@ -75,7 +89,7 @@ class CountStream:
     """
 
     def __init__(self, spark: SparkSession, root: str, table: str, fold_every: int = FOLD_EVERY) -> None:
-        self.root = root
+        self.spark, self.root = spark, root
         self.counts = DailyCounts(spark, root, table, combine=F.max, fold_every=fold_every)
 
     def process(self, changed: DataFrame, batch_id: int) -> None:
@@ -86,6 +100,10 @@ class CountStream:
         writer = counts.writeStream.outputMode("update").foreachBatch(self.process)
         return _started(writer, self.root, available_now)
 
+    def table(self) -> DataFrame:
+        """The counts as the last finished batch left them."""
+        return self.counts.totals(last_batch(self.spark, _checkpoint(self.root)))
+
 
 def start_trend(
     spark: SparkSession,

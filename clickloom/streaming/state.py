@@ -18,9 +18,24 @@ from clickloom.schemas import schema_of
 FOLD_EVERY = 64
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, target = _located(spark, path)
+    return files.exists(target)
+
+
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The last micro-batch the stream of this checkpoint has finished; raises LookupError before the first."""
+    files, target = _located(spark, f"{checkpoint}/commits")
+    names = [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+    finished = [int(name) for name in names if name.isdigit()]
+    if not finished:
+        raise LookupError(f"no finished batch in {checkpoint}")
+    return max(finished)
 
 
 class _BatchFolders:
@@ -137,5 +152,9 @@ class BannedUsers(_BatchFolders):
         return users
 
     def before(self, batch_id: int) -> DataFrame:
-        """Users banned by earlier batches, whether or not this batch has run before."""
+        """While ``batch_id`` runs: users banned by earlier batches, whether or not it has run before."""
         return self._since_fold(self._last_fold(batch_id), batch_id)
+
+    def after(self, batch_id: int) -> DataFrame:
+        """Users banned up to and including ``batch_id``, which has finished."""
+        return self._since_fold(self._last_fold(batch_id), batch_id + 1)
