@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import categories, sampling, sessions, stats
 from clickloom.params import DEFAULT_EXTRACT_TOTAL, TaskParams
-from clickloom.session import scratch_path, stored
+from clickloom.session import scratch_folder, stored
 from clickloom.sinks.tables import ParquetTables
 from clickloom.sources.tables import find_task, scan_actions
 
@@ -38,9 +38,22 @@ def run_session_task(
     """
     params = find_task(tables.tasks, task_id)
     actions = scan_actions(tables.action_log, params)
-    scratch = scratch_path(spark, f"session-task-{task_id}")
+    with scratch_folder(spark, f"session-task-{task_id}") as scratch:
+        _write_results(task_id, actions, tables.users, params, results, scratch, extract_total, seed)
+    return params
+
 
-    wanted = stored(sessions.wanted_sessions(actions, tables.users, params), f"{scratch}/wanted")
+def _write_results(
+    task_id: int,
+    actions: DataFrame,
+    users: DataFrame,
+    params: TaskParams,
+    results: ParquetTables,
+    scratch: str,
+    extract_total: int,
+    seed: int,
+) -> None:
+    wanted = stored(sessions.wanted_sessions(actions, users, params), f"{scratch}/wanted")
     results.write_task_rows(stats.session_aggr_stat(wanted), "session_aggr_stat", task_id)
 
     pairs = categories.of_sessions(categories.session_categories(actions), wanted)
@@ -60,9 +73,8 @@ def run_session_task(
     detail = actions.join(stored(picked, f"{scratch}/picked"), "session_id")
     results.write_task_rows(detail, "session_detail", task_id, by=("source",))
 
-    written = results.read(spark, "session_detail").where(
+    written = results.read(actions.sparkSession, "session_detail").where(
         (F.col("task_id") == task_id) & (F.col("source") == "extract")
     )
     report = sampling.extract_report(extracted, written)
     results.write_task_rows(report, "session_random_extract", task_id)
-    return params

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch folder that is removed when the work in it is done."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        files, target = located(spark, path)
+        files.delete(target, True)
+
+
+def located(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` as a written table, for a frame that is used more than once.
 

@@ -14,23 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from clickloom.schemas import schema_of
+from clickloom.session import located
 
 FOLD_EVERY = 64
 
 
-def _located(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
-    files, target = _located(spark, path)
+    files, target = located(spark, path)
     return files.exists(target)
 
 
 def last_batch(spark: SparkSession, checkpoint: str) -> int:
     """The last micro-batch the stream of this checkpoint has finished; raises LookupError before the first."""
-    files, target = _located(spark, f"{checkpoint}/commits")
+    files, target = located(spark, f"{checkpoint}/commits")
     names = [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
     finished = [int(name) for name in names if name.isdigit()]
     if not finished:

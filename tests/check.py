@@ -41,8 +41,8 @@ def canonical(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tu
     )
 
 
-def both(spark, con, sf_dir: str, query, sql: str):
-    df = query(spark, sf_dir)
+def both(df, con, sql: str):
+    """The rows of a frame and of its SQL, in comparable form."""
     ours = canonical(df.columns, [tuple(r) for r in df.collect()])
     result = con.execute(sql)
     theirs = canonical([d[0] for d in result.description], result.fetchall())
@@ -65,7 +65,7 @@ def main() -> int:
             continue
         began = time.time()
         try:
-            ours, theirs = both(spark, con, sf_dir, query, sqls[name])
+            ours, theirs = both(query(spark, sf_dir), con, sqls[name])
             same = ours == theirs
             print(f"{'ok  ' if same else 'DIFF'} {name}: {len(ours[1])} rows, {time.time() - began:.1f}s", flush=True)
             if not same:
