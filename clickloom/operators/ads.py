@@ -36,7 +36,7 @@ def over_clicking_users(user_counts: DataFrame, threshold: int = BLACKLIST_THRES
 
 
 def without_users(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Clicks of users who are not blacklisted."""
+    """Clicks of users who are not blacklisted. Like any list to join with, the blacklist is best read from a table."""
     return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
 
 

@@ -78,5 +78,10 @@ def wanted_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) ->
 
 
 def actions_of(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """The detail rows of the given sessions, each action once."""
+    """The detail rows of the given sessions, each action once.
+
+    Pass sessions read from a table. Where they are too many to broadcast, both sides are then shuffled
+    for this join alone, and adaptive execution can split a session that holds a large share of the log;
+    it cannot when the sessions come straight out of an aggregation by session.
+    """
     return actions.join(sessions.select("session_id"), "session_id", "left_semi").select(*DETAIL_COLUMNS)

@@ -113,7 +113,7 @@ def session_aggr_stat_filtered(fx: Fixtures) -> DataFrame:
 
 @_query
 def session_detail_filtered(fx: Fixtures) -> DataFrame:
-    return sessions.actions_of(_actions(fx), _wanted(fx, PICKY))
+    return sessions.actions_of(_actions(fx), _stored(_wanted(fx, PICKY), "wanted"))
 
 
 # Categories

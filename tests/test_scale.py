@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import ads, categories, sessions
 from clickloom.params import TaskParams
+from clickloom.session import stored
 from frames import DAY
 
 
@@ -66,8 +67,8 @@ def test_facts_are_fixed_size_and_combined_before_the_shuffle(spark, hot_log, pl
     assert (hot.step_length, hot.keyword_hit, hot.category_hit) == (HOT_ROWS, True, True)
 
 
-def test_a_hot_session_is_split_in_the_detail_join(spark, hot_log, plan):
-    wanted = hot_log.select("session_id").distinct()
+def test_a_hot_session_is_split_in_the_detail_join(spark, hot_log, plan, tmp_path):
+    wanted = stored(hot_log.select("session_id").distinct(), str(tmp_path / "wanted"))
     with conf(
         spark,
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -99,11 +100,11 @@ def test_a_hot_user_is_combined_before_the_blacklist_join(spark, plan):
         f"date'{DAY}' as date",
         "concat('p', id % 3) as province",
         "concat('c', id % 3) as city",
-        "if(id % 3 = 0, 1, id) as user_id",
+        "if(id % 3 = 0, -1, id) as user_id",
         "id % 5 as ad_id",
     )
     cells = ads.click_cells(clicks)
-    banned = spark.createDataFrame([(1,)], "user_id bigint")
+    banned = spark.createDataFrame([(-1,)], "user_id bigint")
     kept = ads.user_click_counts(ads.without_users(cells, banned))
     text = plan(kept)
     below_join = text[text.index("Join") :]
