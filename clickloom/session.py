@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "clickloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the analytics assume: UTC times and adaptive execution.
+    """A session with the settings the analytics assume: UTC times, adaptive execution, stream state on disk.
 
     Partition counts and memory belong to the cluster; pass them in ``conf`` with dots
     written as double underscores, e.g. ``spark__sql__shuffle__partitions="2000"``.
@@ -23,6 +23,10 @@ def build_session(app_name: str = "clickloom", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master)

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom.functions.values import as_text
 from clickloom.schemas import conform, schema_of
 
 
@@ -47,7 +48,12 @@ class JdbcTables:
 
     def write_task_rows(self, df: DataFrame, table: str, task_id: int, by: tuple[str, ...] = ()) -> None:
         """Insert a task's rows. Lists are stored as comma text, as most databases have no list type."""
-        from clickloom.functions.values import as_text
+        self._write(as_text(conform(df, table, task_id=task_id)), table, "append")
 
-        rows = as_text(conform(df, table, task_id=task_id))
-        rows.write.format("jdbc").options(url=self.url, dbtable=table, **self.options).mode("append").save()
+    def publish(self, df: DataFrame, table: str) -> None:
+        """Replace a table's content, keeping its definition: for the current state of a stream's tables."""
+        self._write(as_text(conform(df, table)), table, "overwrite", truncate="true")
+
+    def _write(self, rows: DataFrame, table: str, mode: str, **options: str) -> None:
+        writer = rows.write.format("jdbc").options(url=self.url, dbtable=table, **self.options, **options)
+        writer.mode(mode).save()

@@ -55,18 +55,18 @@ class ClickStream:
         try:
             self.user_counts.write(ads.user_click_counts(cells), batch_id)
             self.city_counts.write(ads.city_click_counts(cells), batch_id)
-            # As many as the batch has days: one or two in a live stream.
-            dates = [str(row.date) for row in cells.select("date").distinct().collect()]
-            clicked = cells.select("date", "user_id", "ad_id").distinct()
-            totals = self.user_counts.totals(batch_id, dates, among=clicked)
-            self.banned.write(ads.over_clicking_users(totals, self.threshold), batch_id)
-
-            # All provinces of the batch's days are ranked anew, so that a day is one group to replace.
-            city_totals = self.city_counts.totals(batch_id, dates)
-            top = ads.province_top_ads(ads.province_click_counts(city_totals))
-            self.results.replace_groups(top, "ad_province_top3", ("date",))
         finally:
             cells.unpersist()
+        # As many as the batch has days: one or two in a live stream.
+        dates = [str(row.date) for row in self.city_counts.added(batch_id).select("date").distinct().collect()]
+
+        totals = self.user_counts.totals(batch_id, dates, touched_only=True)
+        self.banned.write(ads.over_clicking_users(totals, self.threshold), batch_id)
+
+        # All provinces of the batch's days are ranked anew, so that a day is one group to replace.
+        city_totals = self.city_counts.totals(batch_id, dates)
+        top = ads.province_top_ads(ads.province_click_counts(city_totals))
+        self.results.replace_groups(top, "ad_province_top3", ("date",))
 
     def start(self, clicks: DataFrame, available_now: bool = False) -> StreamingQuery:
         return _started(clicks.writeStream.foreachBatch(self.process), self.root, available_now)

@@ -46,6 +46,10 @@ class _BatchFolders:
     def write(self, rows: DataFrame, batch_id: int) -> None:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(self._batch_path(batch_id))
 
+    def added(self, batch_id: int) -> DataFrame:
+        """What a batch has written."""
+        return self._batches([batch_id])
+
     def _batches(self, ids: Iterable[int]) -> DataFrame:
         paths = [self._batch_path(i) for i in ids]
         if not paths:
@@ -112,9 +116,9 @@ class DailyCounts(_BatchFolders):
         return reader.parquet(*paths).where(F.col("upto") <= upto).select(*self.schema.names)
 
     def totals(
-        self, batch_id: int, dates: Iterable[str] | None = None, among: DataFrame | None = None
+        self, batch_id: int, dates: Iterable[str] | None = None, touched_only: bool = False
     ) -> DataFrame:
-        """Running totals after ``batch_id``, for the given dates and the keys found in ``among``."""
+        """Running totals after ``batch_id``, for the given dates, or just the keys the batch has added to."""
         upto = self._last_fold(batch_id)
         rows = self._batches(range(upto, batch_id + 1))
         folded = self._folded(upto, dates) if upto else None
@@ -122,8 +126,8 @@ class DailyCounts(_BatchFolders):
             rows = rows.unionByName(folded)
         if dates is not None:
             rows = rows.where(F.col("date").cast("string").isin(*dates))
-        if among is not None:
-            rows = rows.join(among, among.columns, "left_semi")
+        if touched_only:
+            rows = rows.join(self.added(batch_id).select(*self.keys), self.keys, "left_semi")
         return self._combined(rows)
 
 

@@ -44,3 +44,17 @@ def log_line(when, province, city, user_id, ad_id):
 
     millis = int(when.replace(tzinfo=timezone.utc).timestamp() * 1000)
     return f"{millis} {province} {city} {user_id} {ad_id}"
+
+
+class Recorder:
+    """Stands in for a reader or writer and records what it is asked to do."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls.append((name, args, kwargs))
+            return self
+
+        return call

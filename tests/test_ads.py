@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import ads
 from clickloom.operators.upsert import upsert_accumulate, upsert_replace
-from clickloom.sources.adlog import parse_ad_log
-from frames import lines, log_line
+from clickloom.sources.adlog import file_lines, kafka_lines, parse_ad_log
+from frames import Recorder, lines, log_line
 
 NOON = datetime(2024, 3, 1, 12, 0, 30)
 DAY = date(2024, 3, 1)
@@ -19,6 +19,19 @@ def test_parse(spark):
     assert tuple(row) == (NOON, DAY, "New_York", "NATION_2", 7, 3)
 
 
+def test_kafka_options(spark):
+    session = Recorder()
+    session.readStream = session
+    kafka_lines(session, "a:9092,b:9092", "ads,more-ads", startingOffsets="latest")
+    assert [call for call in session.calls if call[0] != "select"] == [
+        ("format", ("kafka",), {}),
+        ("option", ("kafka.bootstrap.servers", "a:9092,b:9092"), {}),
+        ("option", ("subscribe", "ads,more-ads"), {}),
+        ("options", (), {"startingOffsets": "latest"}),
+        ("load", (), {}),
+    ]
+
+
 def test_bad_lines_are_dropped(spark):
     good = log_line(NOON, "p", "c", 7, 3)
     bad = ["", "x", "1 p c 7", "t p c 7 3", "1 p c seven 3", "1 p c 7 3x", "1,p,c,7,3", "99999999999999999999 p c 7 3"]
@@ -29,8 +42,6 @@ def test_dropped_lines_are_counted(spark, tmp_path):
     path = tmp_path / "log"
     path.mkdir()
     (path / "a.txt").write_text("\n".join([log_line(NOON, "p", "c", 1, 1), "bad", "1 2"]) + "\n")
-    from clickloom.sources.adlog import file_lines
-
     clicks = parse_ad_log(file_lines(spark, str(path)), metrics="ad_log")
     query = (
         clicks.writeStream.format("noop")

@@ -74,21 +74,21 @@ def _tables(stream, last, rows):
 @pytest.mark.parametrize(("fold_every", "seed"), [(64, 4), (2, 4), (3, 9)])
 def test_batches_follow_the_model_with_and_without_folding(spark, rows, tmp_path, fold_every, seed):
     batches = _random_batches(5, seed)
-    stream = ClickStream(spark, str(tmp_path), threshold=5, fold_every=fold_every)
+    stream = ClickStream(spark, str(tmp_path), threshold=3, fold_every=fold_every)
     for i, batch in enumerate(batches):
         stream.process(_clicks(spark, batch), i)
         if i >= 2:
-            assert _tables(stream, i, rows) == _model(batches[: i + 1], 5)
-    assert _model(batches, 5)["ad_blacklist"]
+            assert _tables(stream, i, rows) == _model(batches[: i + 1], 3)
+    assert _model(batches[:3], 3)["ad_blacklist"]
 
 
 def test_a_batch_that_runs_again_changes_nothing(spark, rows, tmp_path):
     batches = _random_batches(5)
-    stream = ClickStream(spark, str(tmp_path), threshold=5, fold_every=2)
+    stream = ClickStream(spark, str(tmp_path), threshold=3, fold_every=2)
     for i, batch in enumerate(batches):
         for _ in range(2):  # as after a failure before the commit, also where a fold has been done
             stream.process(_clicks(spark, batch), i)
-    assert _tables(stream, 4, rows) == _model(batches, 5)
+    assert _tables(stream, 4, rows) == _model(batches, 3)
     top = rows(ads.province_top_ads(ads.province_click_counts(stream.city_counts.totals(4))))
     assert rows(stream.results.read(spark, "ad_province_top3")) == top
 
@@ -176,6 +176,14 @@ def test_trend_with_a_watermark_drops_late_clicks(spark, rows, three_files, tmp_
     assert ("05", "00", 0, 6) in rows(ads.minute_click_counts(_all_clicks(spark, three_files)), *TREND_COLUMNS)
 
 
+def test_a_live_stream_works_at_its_interval(spark, rows, three_files, tmp_path):
+    stream = ClickStream(spark, str(tmp_path / "state"))
+    query = stream.start(parse_ad_log(file_lines(spark, three_files)))
+    query.processAllAvailable()
+    query.stop()
+    assert rows(stream.tables()["ad_stat"]) == rows(ads.city_click_counts(_all_clicks(spark, three_files)))
+
+
 def test_running_stat_equals_batch(spark, rows, three_files, tmp_path):
     clicks = parse_ad_log(file_lines(spark, three_files, maxFilesPerTrigger="1"))
     stream, query = start_running_stat(spark, clicks, str(tmp_path / "state"), available_now=True)

@@ -7,7 +7,8 @@ import pytest
 from clickloom.plans.session_task import SessionTables, run_session_task
 from clickloom.schemas import schema_of
 from clickloom.sinks.tables import JdbcTables, ParquetTables
-from frames import action, actions, users
+from clickloom.sources.tables import read_jdbc_table, read_table
+from frames import Recorder, action, actions, users
 
 TABLES = ("session_aggr_stat", "session_random_extract", "session_detail", "top10_category", "top10_session")
 
@@ -89,22 +90,8 @@ def test_groups_are_replaced_whole(spark, rows, tmp_path):
     assert got == [("2024-03-01", "100", 3, 9), ("2024-03-01", "a_b", 1, 1), ("2024-03-02", "100", 1, 1)]
 
 
-class _Writer:
-    """Records what a frame's writer is asked to do."""
-
-    def __init__(self):
-        self.calls = []
-
-    def __getattr__(self, name):
-        def call(*args, **kwargs):
-            self.calls.append((name, args, kwargs))
-            return self
-
-        return call
-
-
 def test_database_rows_are_appended_as_text(spark, monkeypatch):
-    writer = _Writer()
+    writer = Recorder()
     monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.write", property(lambda self: writer))
     df = spark.createDataFrame([(1, 5, 0, 0)], "category_id bigint, click_count bigint, order_count bigint, pay_count bigint")
     JdbcTables("jdbc:mysql://host/db", {"user": "me"}).write_task_rows(df, "top10_category", 4)
@@ -114,3 +101,33 @@ def test_database_rows_are_appended_as_text(spark, monkeypatch):
         ("mode", ("append",), {}),
         ("save", (), {}),
     ]
+
+
+def test_a_database_table_is_published_whole(spark, monkeypatch):
+    writer = Recorder()
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.write", property(lambda self: writer))
+    JdbcTables("jdbc:mysql://host/db").publish(spark.createDataFrame([(5,)], "user_id bigint"), "ad_blacklist")
+    assert writer.calls == [
+        ("format", ("jdbc",), {}),
+        ("options", (), {"url": "jdbc:mysql://host/db", "dbtable": "ad_blacklist", "truncate": "true"}),
+        ("mode", ("overwrite",), {}),
+        ("save", (), {}),
+    ]
+
+
+def test_a_database_table_is_read_with_its_options():
+    session = Recorder()
+    session.read = session
+    read_jdbc_table(session, "jdbc:mysql://host/db", "task", user="me")
+    assert session.calls == [
+        ("format", ("jdbc",), {}),
+        ("options", (), {"url": "jdbc:mysql://host/db", "dbtable": "task", "user": "me"}),
+        ("load", (), {}),
+    ]
+
+
+def test_tables_are_read_by_path_or_by_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    spark.range(4).createOrReplaceTempView("four_rows")
+    assert (read_table(spark, path).count(), read_table(spark, "four_rows").count()) == (3, 4)
