@@ -9,7 +9,7 @@ from clickloom.functions import times
 
 FIELDS = ("millis", "province", "city", "user_id", "ad_id")  # fixed order of a line's fields
 # Fixed value: a line with its numbers in place and inside 64 bits; anything after the fifth field is ignored.
-READABLE = r"^[+-]?\d{1,18} [^ ]* [^ ]* [+-]?\d{1,18} [+-]?\d{1,18}( |$)"
+READABLE = r"^[+-]?\d{1,18}+ [^ ]*+ [^ ]*+ [+-]?\d{1,18}+ [+-]?\d{1,18}+(?: |$)"
 
 
 def kafka_lines(spark: SparkSession, brokers: str, topics: str, **options: str) -> DataFrame:

@@ -11,6 +11,7 @@ from clickloom.sinks.tables import ParquetTables
 from clickloom.streaming.state import FOLD_EVERY, BannedUsers, DailyCounts, last_batch
 
 BATCH_INTERVAL = "5 seconds"
+FILES_PER_BATCH = 4
 
 
 def _checkpoint(root: str) -> str:
@@ -94,7 +95,8 @@ class CountStream:
 
     def process(self, changed: DataFrame, batch_id: int) -> None:
         self.counts.fold(batch_id)
-        self.counts.write(changed, batch_id)
+        # The state has a fixed number of partitions, and each would leave a file of few rows.
+        self.counts.write(changed.repartition(FILES_PER_BATCH), batch_id)
 
     def start(self, counts: DataFrame, available_now: bool = False) -> StreamingQuery:
         writer = counts.writeStream.outputMode("update").foreachBatch(self.process)
