@@ -74,7 +74,8 @@ def random_extract(draws: DataFrame, cuts: DataFrame) -> DataFrame:
     """The drawn sessions: in each hour the ``quota`` smallest draws.
 
     Whole slices below the cut are taken as they are; only the slice at the cut is ranked. An hour
-    holding a large share of all sessions is therefore never ranked in one task.
+    holding a large share of all sessions is therefore never ranked in one task. Pass cuts read from a
+    table: Spark then knows that one row per hour is few, and joins without moving the sessions.
     """
     rank = F.row_number().over(W.partitionBy(*HOUR, "slice").orderBy("draw", "session_id"))
     return (
@@ -87,12 +88,6 @@ def random_extract(draws: DataFrame, cuts: DataFrame) -> DataFrame:
     )
 
 
-def extract_sessions(sessions: DataFrame, total: int = DEFAULT_EXTRACT_TOTAL, seed: int = 0) -> DataFrame:
-    """Draw up to ``total`` sessions, spread over days and hours."""
-    draws = session_draws(sessions, seed)
-    return random_extract(draws, extract_cuts(draws, total))
-
-
 def extract_report(extracted: DataFrame, detail: DataFrame) -> DataFrame:
     """The drawn sessions with the words they searched and the categories they clicked.
 

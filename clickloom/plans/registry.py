@@ -13,7 +13,7 @@ from clickloom.functions.values import as_text
 from clickloom.operators import ads, categories, sampling, sessions, stats, upsert
 from clickloom.params import TaskParams
 from clickloom.plans.daily_ads import DailyAds, daily_ads
-from clickloom.plans.session_task import SessionTables, run_session_task
+from clickloom.plans.session_task import SessionTables, extracted_sessions, run_session_task
 from clickloom.schemas import schema_of
 from clickloom.session import scratch_path, stored
 from clickloom.sinks.tables import ParquetTables
@@ -164,7 +164,7 @@ def session_quota(fx: Fixtures) -> DataFrame:
 
 def _extracted(fx: Fixtures) -> DataFrame:
     wanted = _stored(_wanted(fx), "wanted")
-    return _stored(sampling.extract_sessions(wanted, EXTRACT_TOTAL, EXTRACT_SEED), "extracted")
+    return extracted_sessions(wanted, EXTRACT_TOTAL, EXTRACT_SEED, scratch_path(fx.spark, "extract"))
 
 
 @_query

@@ -23,6 +23,13 @@ class SessionTables:
     tasks: DataFrame
 
 
+def extracted_sessions(wanted: DataFrame, total: int, seed: int, scratch: str) -> DataFrame:
+    """Draw up to ``total`` of the wanted sessions, spread over days and hours."""
+    draws = sampling.session_draws(wanted, seed)
+    cuts = stored(sampling.extract_cuts(draws, total), f"{scratch}/cuts")
+    return stored(sampling.random_extract(draws, cuts), f"{scratch}/extracted")
+
+
 def run_session_task(
     spark: SparkSession,
     task_id: int,
@@ -63,9 +70,7 @@ def _write_results(
     busiest = stored(categories.top_sessions(pairs, hottest), f"{scratch}/busiest")
     results.write_task_rows(busiest, "top10_session", task_id)
 
-    draws = sampling.session_draws(wanted, seed)
-    cuts = stored(sampling.extract_cuts(draws, extract_total), f"{scratch}/cuts")
-    extracted = stored(sampling.random_extract(draws, cuts), f"{scratch}/extracted")
+    extracted = extracted_sessions(wanted, extract_total, seed, scratch)
     picked = extracted.select("session_id", F.lit("extract").alias("source")).unionByName(
         busiest.select("session_id", F.lit("top10").alias("source")).distinct()
     )

@@ -8,8 +8,20 @@ from pyspark.sql import functions as F
 from clickloom.functions import times
 
 FIELDS = ("millis", "province", "city", "user_id", "ad_id")  # fixed order of a line's fields
-# Fixed value: a line with its numbers in place and inside 64 bits; anything after the fifth field is ignored.
-READABLE = r"^[+-]?\d{1,18}+ [^ ]*+ [^ ]*+ [+-]?\d{1,18}+ [+-]?\d{1,18}+(?: |$)"
+LAST_MILLIS, LAST_ID = 253402300799999, 2**63 - 1  # the end of the year 9999; the largest 64-bit number
+
+
+def _number(limit: int) -> str:
+    """A pattern for whole numbers of either sign up to ``limit``, so that reading one cannot overflow."""
+    digits = str(limit)
+    as_long = [
+        rf"{digits[:i]}[0-{int(d) - 1}]\d{{{len(digits) - i - 1}}}" for i, d in enumerate(digits) if d != "0"
+    ]
+    return rf"[+-]?(?:\d{{1,{len(digits) - 1}}}|{'|'.join(as_long)}|{digits})"
+
+
+# A line with its numbers in place; anything after the fifth field is ignored.
+READABLE = rf"^{_number(LAST_MILLIS)} [^ ]*+ [^ ]*+ {_number(LAST_ID)} {_number(LAST_ID)}(?: |$)"
 
 
 def kafka_lines(spark: SparkSession, brokers: str, topics: str, **options: str) -> DataFrame:

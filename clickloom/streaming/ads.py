@@ -59,7 +59,8 @@ class ClickStream:
         finally:
             cells.unpersist()
         # As many as the batch has days: one or two in a live stream.
-        dates = [str(row.date) for row in self.city_counts.added(batch_id).select("date").distinct().collect()]
+        days = self.city_counts.added(batch_id).select(F.col("date").cast("string")).distinct()
+        dates = [row.date for row in days.collect()]
 
         totals = self.user_counts.totals(batch_id, dates, touched_only=True)
         self.banned.write(ads.over_clicking_users(totals, self.threshold), batch_id)

@@ -38,6 +38,15 @@ def test_bad_lines_are_dropped(spark):
     assert parse_ad_log(lines(spark, good, good + " more", None, *bad)).count() == 2
 
 
+def test_numbers_are_read_up_to_their_limits(spark, rows):
+    largest, millis = 2**63 - 1, 253402300799999
+    kept = [f"{millis} p c {largest} {-largest}", f"0 p c 0 {10**18}", f"-1 p c +5 {largest - 10}"]
+    dropped = [f"{millis + 1} p c 1 1", f"{10**17} p c 1 1", f"1 p c {largest + 1} 1", f"1 p c 1 {10**19}"]
+    got = parse_ad_log(lines(spark, *kept, *dropped))
+    assert rows(got, "user_id", "ad_id") == [(0, 10**18), (5, largest - 10), (largest, -largest)]
+    assert rows(got.select(F.col("date").cast("string"))) == [("1969-12-31",), ("1970-01-01",), ("9999-12-31",)]
+
+
 def test_dropped_lines_are_counted(spark, tmp_path):
     path = tmp_path / "log"
     path.mkdir()

@@ -16,6 +16,11 @@ def _frame(spark, started):
     return spark.createDataFrame(list(started), "session_id string, start_time timestamp")
 
 
+def _extract(sessions, total=100, seed=0):
+    draws = sampling.session_draws(sessions, seed)
+    return sampling.random_extract(draws, sampling.extract_cuts(draws, total))
+
+
 def _expected(started, total, seed):
     """The definition, in plain Python."""
     hours = defaultdict(list)
@@ -37,7 +42,7 @@ def test_extract_equals_the_definition(spark, total):
     started = [
         (f"s{i}", START + timedelta(days=rng.randrange(3), hours=rng.choice([8, 8, 8, 9, 20]))) for i in range(1500)
     ]
-    got = sampling.extract_sessions(_frame(spark, started), total, seed=5)
+    got = _extract(_frame(spark, started), total, seed=5)
     ids = [r.session_id for r in got.collect()]
     assert len(ids) == len(set(ids))
     assert set(ids) == _expected(started, total, 5)
@@ -45,23 +50,23 @@ def test_extract_equals_the_definition(spark, total):
 
 def test_one_hour_with_nearly_all_sessions(spark):
     started = [(f"s{i}", START) for i in range(20_000)] + [("late", START + timedelta(hours=5))]
-    got = sampling.extract_sessions(_frame(spark, started), 9_000, seed=1)
+    got = _extract(_frame(spark, started), 9_000, seed=1)
     assert {r.session_id for r in got.collect()} == _expected(started, 9_000, 1)
 
 
 def test_the_seed_decides(spark, rows):
     frame = _frame(spark, [(f"s{i}", START) for i in range(300)])
-    first, again, other = (rows(sampling.extract_sessions(frame, 50, seed)) for seed in (1, 1, 2))
+    first, again, other = (rows(_extract(frame, 50, seed)) for seed in (1, 1, 2))
     assert first == again != other and len(first) == len(other) == 50
 
 
 def test_more_days_than_sessions_to_draw_gives_none(spark):
     started = [(f"s{i}", START + timedelta(days=i)) for i in range(101)]
-    assert sampling.extract_sessions(_frame(spark, started), 100).count() == 0
+    assert _extract(_frame(spark, started), 100).count() == 0
 
 
 def test_no_sessions(spark):
-    assert sampling.extract_sessions(_frame(spark, [])).count() == 0
+    assert _extract(_frame(spark, [])).count() == 0
 
 
 def test_quota_never_exceeds_the_hour(spark, rows):
