@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat, exact_dups, langid, quality, url_filter
+from clickloom.llm import ann, bpe, chat, exact_dups, langid, near_dups, packing, quality, token_files, url_filter
+from clickloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_language(docs.drop("lang"), model).drop("text")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = token_files.write_token_files(docs, scratch_path(spark, "token-files"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_documents(manifest)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.mark_near_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted_turns(_table(spark, sf_dir, "conversations"))
 
@@ -40,10 +57,20 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op9_exact_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dups.mark_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def queries() -> dict[str, Query]:
     found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
