@@ -6,7 +6,7 @@ by block: a register-blocked Bloom filter of the possibly repeated hashes. Equal
 so none is missed. Pass 2 tests each row against the filter. Rows that fail stand alone and pass
 straight through; only the others shuffle, by SHA-256, to find their group.
 
-The filter has at most ``MAX_BLOCKS`` words (two texts a word below that), which bounds the broadcast. Beyond, more
+The filter has at most ``bloom.MAX_BLOCKS`` words (two texts a word below that), which bounds the broadcast. Beyond, more
 single texts pass the test and are shuffled; the result is the same.
 
 A null text counts as empty. Of equal texts the largest id stays (a null id only in a group without others). Rows
@@ -19,10 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm import bloom
 from clickloom.session import scratch_path, stored
 
-MAX_BLOCKS = 1 << 21
-_CELL = ("__block", "__mask")
 _SHA = "__sha256"
 
 
@@ -30,35 +29,20 @@ def _text_bytes(text_col: str) -> Column:
     return F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
 
 
-def _cell(text: Column, blocks: int) -> list[Column]:
-    h = F.xxhash64(text)
-    one = F.lit(1).cast("bigint")
-    place = [F.shiftrightunsigned(h, at).bitwiseAND(F.lit(63)).cast("int") for at in (40, 46, 52, 58)]
-    bits = [F.call_function("shiftleft", one, p) for p in place]
-    mask = bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
-    return [F.pmod(h, F.lit(blocks).cast("bigint")).alias(_CELL[0]), mask.alias(_CELL[1])]
-
-
 def repeat_filter(docs: DataFrame, text_col: str, blocks: int) -> DataFrame:
-    """(block, bits) of the blocks that hold a cell seen twice; at most ``blocks`` rows."""
-    cells = docs.select(*_cell(_text_bytes(text_col), blocks)).groupBy(*_CELL).agg(F.count(F.lit(1)).alias("n"))
-    return cells.where("n > 1").groupBy(_CELL[0]).agg(F.bit_or(_CELL[1]).alias("__bits"))
-
-
-def block_count(rows: int, most: int = MAX_BLOCKS) -> int:
-    return max(1, min(most, rows // 2))
+    """The filter of the cells that occur twice; at most ``blocks`` rows."""
+    cells = docs.select(*bloom.cell(F.xxhash64(_text_bytes(text_col)), blocks)).groupBy(bloom.BLOCK, bloom.MASK).agg(F.count(F.lit(1)).alias("n"))
+    return bloom.key_filter(cells.where("n > 1"))
 
 
-def split_by_filter(docs: DataFrame, text_col: str, most_blocks: int = MAX_BLOCKS) -> tuple[DataFrame, DataFrame]:
+def split_by_filter(docs: DataFrame, text_col: str, most_blocks: int = bloom.MAX_BLOCKS) -> tuple[DataFrame, DataFrame]:
     """Rows of texts that stand alone, and rows that may have copies; both with the column ``__sha256``."""
-    blocks = block_count(docs.count(), most_blocks)
+    blocks = bloom.block_count(docs.count(), most_blocks)
     bits = stored(repeat_filter(docs, text_col, blocks), scratch_path(docs.sparkSession, "repeats"))
     text = _text_bytes(text_col)
-    block, mask = _cell(text, blocks)
-    tested = docs.withColumn("__block", block).withColumn("__mask", mask).join(F.broadcast(bits), "__block", "left")
-    maybe = F.coalesce(F.col("__bits").bitwiseAND(F.col("__mask")) == F.col("__mask"), F.lit(False))
-    tidy = lambda df: df.withColumn(_SHA, F.sha2(text, 256)).drop("__block", "__mask", "__bits")
-    return tidy(tested.where(~maybe)), tidy(tested.where(maybe))
+    marked = bloom.tested(docs, F.xxhash64(text), bits, blocks, "__maybe")
+    tidy = lambda df: df.withColumn(_SHA, F.sha2(text, 256)).drop("__maybe")
+    return tidy(marked.where(~F.col("__maybe"))), tidy(marked.where("__maybe"))
 
 
 def _groups(repeated: DataFrame, id_col: str) -> DataFrame:
@@ -70,7 +54,7 @@ def _groups(repeated: DataFrame, id_col: str) -> DataFrame:
     return stored(groups, scratch_path(repeated.sparkSession, "copies"))
 
 
-def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_blocks: int = MAX_BLOCKS) -> DataFrame:
+def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_blocks: int = bloom.MAX_BLOCKS) -> DataFrame:
     """One row for each row of ``docs``: id, keep_id, group_size, kept, text_sha256."""
     alone, repeated = split_by_filter(docs.select(f"`{id_col}`", f"`{text_col}`"), text_col, most_blocks)
     alone = alone.select(F.col(f"`{id_col}`"), F.col(f"`{id_col}`").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), F.col(_SHA).alias("text_sha256"))
@@ -85,7 +69,7 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return alone.unionByName(grouped)
 
 
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_blocks: int = MAX_BLOCKS) -> DataFrame:
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_blocks: int = bloom.MAX_BLOCKS) -> DataFrame:
     """``docs`` with one row of each group of equal texts: that of the largest id."""
     alone, repeated = split_by_filter(docs, text_col, most_blocks)
     groups = _groups(repeated.select(f"`{id_col}`", _SHA), id_col).select(F.col(_SHA).alias("__of"), "__keep")
