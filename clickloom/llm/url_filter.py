@@ -2,7 +2,8 @@
 
 DataFrame functions and Spark's own boosted trees only. The trees learn from the URLs that a rule decides: those are the labelled
 ones. At most about ``MAX_LABELLED`` distinct ones are taken for training, evenly by the hash of the URL; the rest of the
-work covers every row. The suffix statistics are one row for each of ``SUFFIX_SLOTS`` hash slots of the host's last label.
+work covers every row. The suffix statistics are one row for each of ``SUFFIX_SLOTS`` hash slots, of the
+host's last label and of that with the first directory of the path.
 
 A null URL or one without ``://`` has an empty host and path; it is judged by the trees like an empty text. With no
 labelled URL, or labels of one kind only, that kind (else "allow") is the verdict of all other rows. Repeated rows
@@ -23,7 +24,7 @@ from clickloom.session import scratch_path, stored
 
 MAX_LABELLED = 20_000
 SUFFIX_SLOTS = 1024
-FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_dashes", "f_suffix_rate", "f_suffix_count")
+FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_dashes", "f_suffix_rate", "f_suffix_count", "f_start_rate", "f_start_count")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -78,12 +79,18 @@ def _entropy(text: Column) -> Column:
     return F.when(n > 0, F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), add)).otherwise(0.0)
 
 
-def _suffix_slot() -> Column:
-    return F.pmod(F.xxhash64(F.substring_index("host", ".", -1)), F.lit(SUFFIX_SLOTS).cast("bigint"))
+def _slot(*parts: Column) -> Column:
+    return F.pmod(F.xxhash64(*parts), F.lit(SUFFIX_SLOTS).cast("bigint"))
 
 
-def with_features(pages: DataFrame, suffixes: DataFrame, url_col: str = "url") -> DataFrame:
-    """Add the FEATURES; ``suffixes`` as of suffix_statistics. ``pages`` has host and path."""
+def _slots() -> dict[str, Column]:
+    """Where statistics are kept: by host suffix, and by host suffix and first directory of the path."""
+    suffix = F.substring_index("host", ".", -1)
+    return {"suffix": _slot(suffix), "start": _slot(suffix, F.regexp_extract("path", "^/[^/]*/", 0))}
+
+
+def with_features(pages: DataFrame, statistics: dict[str, DataFrame], url_col: str = "url") -> DataFrame:
+    """Add the FEATURES; ``statistics`` as of suffix_statistics. ``pages`` has host and path."""
     url = F.coalesce(F.col(f"`{url_col}`"), F.lit(""))
     n = F.greatest(F.length(url), F.lit(1)).cast("double")
     params = F.when(url.contains("?"), _count_of(url, "&") + 1.0).otherwise(0.0)
@@ -96,14 +103,21 @@ def with_features(pages: DataFrame, suffixes: DataFrame, url_col: str = "url") -
         "f_labels": _count_of(F.col("host"), ".") + 1.0,
         "f_dashes": _count_of(F.col("host"), "-"),
     }
-    out = pages.withColumns(plain).withColumn("__slot", _suffix_slot())
-    return out.join(F.broadcast(suffixes), "__slot", "left").fillna(0.5, ["f_suffix_rate"]).fillna(0.0, ["f_suffix_count"]).drop("__slot")
+    out = pages.withColumns(plain)
+    for name, slot in _slots().items():
+        out = out.withColumn("__slot", slot).join(F.broadcast(statistics[name]), "__slot", "left").drop("__slot")
+        out = out.fillna(0.5, [f"f_{name}_rate"]).fillna(0.0, [f"f_{name}_count"])
+    return out
 
 
-def suffix_statistics(labelled: DataFrame) -> DataFrame:
-    """(slot, smoothed share of blocked, log of count) of the host suffixes; at most SUFFIX_SLOTS rows."""
+def suffix_statistics(labelled: DataFrame) -> dict[str, DataFrame]:
+    """Written tables of (slot, smoothed share of blocked, log of count); at most SUFFIX_SLOTS rows each."""
     n, blocked = F.count(F.lit(1)), F.sum("label")
-    return labelled.groupBy(_suffix_slot().alias("__slot")).agg(((blocked + 1) / (n + 2)).alias("f_suffix_rate"), F.log1p(n.cast("double")).alias("f_suffix_count"))
+    tables = {}
+    for name, slot in _slots().items():
+        rows = labelled.groupBy(slot.alias("__slot")).agg(((blocked + 1) / (n + 2)).alias(f"f_{name}_rate"), F.log1p(n.cast("double")).alias(f"f_{name}_count"))
+        tables[name] = stored(rows, scratch_path(labelled.sparkSession, f"url-{name}"))
+    return tables
 
 
 def labelled_urls(judged: DataFrame, url_col: str, most: int) -> DataFrame:
@@ -124,12 +138,12 @@ def judged_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str
         constant = "block" if counts.n and counts.blocked else "allow"
         out = judged.withColumn("score", F.lit(float(constant == "block")))
         return out.withColumn("verdict", F.coalesce("rule_verdict", F.lit(constant))).drop("rule_verdict")
-    suffixes = stored(suffix_statistics(labelled), scratch_path(pages.sparkSession, "suffixes"))
+    statistics = suffix_statistics(labelled)
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
-    training = vector.transform(with_features(labelled, suffixes)).select("__features", "label").coalesce(4)
+    training = vector.transform(with_features(labelled, statistics)).select("__features", "label").coalesce(4)
     model = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=trees, maxDepth=depth, seed=7).fit(training)
     model.setPredictionCol("__prediction").setRawPredictionCol("__raw").setProbabilityCol("__probability")
-    scored = model.transform(vector.transform(with_features(judged, suffixes, url_col)))
+    scored = model.transform(vector.transform(with_features(judged, statistics, url_col)))
     scored = scored.withColumn("score", vector_to_array("__probability")[1])
     verdict = F.coalesce("rule_verdict", F.when(F.col("score") > 0.5, "block").otherwise("allow"))
     return scored.withColumn("verdict", verdict).drop("rule_verdict", "__features", "__prediction", "__raw", "__probability", *FEATURES)
