@@ -4,10 +4,11 @@ A document's set holds the 64-bit hashes of its different five-word shingles. Do
 signature of ``HASHES`` minima, cut into ``BANDS`` bands; nodes that share a band are candidates. A pair with similarity 0.75
 shares none with a probability of 5e-6, less above.
 
-Pairs are tested in two rounds, so that a large group of near copies needs no pairs among itself:
+Pairs are tested in three rounds, so that a large group of near copies needs no pairs among itself:
 
 1. in every bucket each node with the bucket's least node. The links found give components;
-2. in buckets of three or more nodes that still hold several components, all pairs of nodes of different ones. Large buckets are cut into
+2. in buckets of three or more nodes that still hold several components, of each two components the pair whose sketches agree most;
+3. in those that hold several components after that, all pairs of nodes of different ones. Large buckets are cut into
    blocks of about ``BLOCK_ROWS`` nodes, a task compares two blocks; sizes and sketches (a byte of each minimum) rule out most
    pairs before any is written.
 
@@ -205,8 +206,8 @@ class _Job:
         sets = rows.mapInArrow(describe, "node bigint, shingles binary").join(wanted.select("node"), "node", "left_semi")
         return self.keep(sets.dropDuplicates(["node"]), "sets")
 
-    def more_pairs(self, members: DataFrame, components: DataFrame) -> DataFrame:
-        """Pairs (a, b) of nodes that share a bucket of three or more but, so far, no component."""
+    def more_pairs(self, members: DataFrame, components: DataFrame, best: bool) -> DataFrame:
+        """Pairs (a, b) of nodes that share a bucket of three or more but, so far, no component; all, or the best of each two components."""
         rows = members.where("size > 2").join(components, "node", "left").select("band", "node", "size", F.coalesce("component", "node").alias("component"))
         rows = self.keep(rows, "placed")
         mixed_up = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
@@ -217,11 +218,11 @@ class _Job:
         rows = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "n", "sketch")
         # the same members often share several bands; each task drops the pairs that it has seen, distinct() the others
         dealt = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-        return dealt.mapInArrow(pairs_in_buckets, "a bigint, b bigint").distinct()
+        return dealt.mapInArrow(lambda batches: pairs_in_buckets(batches, best), "a bigint, b bigint").distinct()
 
 
-def pairs_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows ordered by (band, i, j): the pairs of each such group that may be linked."""
+def pairs_in_buckets(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
+    """From rows ordered by (band, i, j): the pairs of each such group that may be linked, or of each two components the best one."""
     least = least_sketch_matches()
     waiting: pa.Table | None = None
 
@@ -240,8 +241,15 @@ def pairs_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             fit = (component[x] != component[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
             fit &= np.minimum(n[x], n[y]) * OF >= np.maximum(n[x], n[y]) * SHARE
             x, y = x[fit], y[fit]
-            alike = np.concatenate([(sketch[x[k : k + 65536]] == sketch[y[k : k + 65536]]).sum(axis=1) for k in range(0, len(x), 65536)] or [np.zeros(0, int)]) >= least
-            a, b = node[x[alike]], node[y[alike]]
+            agree = np.concatenate([(sketch[x[k : k + 65536]] == sketch[y[k : k + 65536]]).sum(axis=1) for k in range(0, len(x), 65536)] or [np.zeros(0, int)])
+            x, y, agree = x[agree >= least], y[agree >= least], agree[agree >= least]
+            if best and len(x):
+                low, high = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
+                order = np.lexsort((node[y], node[x], -agree, high, low, ends[x]))
+                keys = np.column_stack([ends[x], low, high])[order]
+                top = order[np.append(True, (keys[1:] != keys[:-1]).any(axis=1))]
+                x, y = x[top], y[top]
+            a, b = node[x], node[y]
             both = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
             first = last
@@ -291,10 +299,11 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row for each row of ``docs``: doc_id, n_shingles, component_id (the smallest id of its component) and kept."""
     job = _Job(docs, id_col, text_col)
     members = job.buckets()
-    first = job.links(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    components = connected(first, job.keep)
-    second = job.links(job.more_pairs(members, components))
-    components = connected(first.unionByName(second), job.keep)
+    links = job.links(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    components = connected(links, job.keep)
+    for best in (True, False):
+        links = job.keep(links.unionByName(job.links(job.more_pairs(members, components, best))), "all-links")
+        components = connected(links, job.keep)
     placed = job.prints.select("doc_id", "n", "node").join(components, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component"))
     placed = job.keep(placed, "components")
     ids = job.keep(placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id")), "ids")
