@@ -8,9 +8,11 @@ Pairs are tested in three rounds, so that a large group of near copies needs no
 
 1. in every bucket each node with the bucket's least node. The links found give components;
 2. in buckets of three or more nodes that still hold several components, of each two components the pair whose sketches agree most;
-3. in those that hold several components after that, all pairs of nodes of different ones. Large buckets are cut into
-   blocks of about ``BLOCK_ROWS`` nodes, a task compares two blocks; sizes and sketches (a byte of each minimum) rule out most
-   pairs before any is written.
+3. in those that hold several components after that, all pairs of nodes of different ones. The rows bring their sets along, so that a pair is
+   decided where it is met and only links are written.
+
+In rounds 2 and 3 large buckets are cut into blocks of about ``BLOCK_ROWS`` nodes, and a task compares two blocks; sizes and sketches (a byte
+of each minimum) rule out most pairs.
 
 So every pair in a bucket is either tested or already in one component. A test compares signatures in batches of ``BATCH`` minima and stops when
 the posterior probability (uniform prior) that the similarity reaches 0.75 falls below ``MISS``. Survivors are decided on the full
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm import bloom
-from clickloom.llm.batches import ASCII_SPACE, Block, binary_column, byte_blocks, list_offsets, lower_ascii, mixed, ragged, runs, span_hashes
+from clickloom.llm.batches import ASCII_SPACE, Block, binary_column, byte_blocks, column_bytes, list_offsets, lower_ascii, mixed, ragged, runs, span_hashes
 from clickloom.session import scratch_path, stored
 
 WORDS = 5
@@ -43,6 +45,7 @@ BATCH = 16
 MISS = 1e-7
 SKETCH = 64
 BLOCK_ROWS = 1024
+BLOCK_SHINGLES = 1 << 18
 PAIRS_AT_ONCE = 1 << 20
 _U64 = np.uint64
 _STEPS = mixed(np.arange(1, WORDS + 1, dtype=np.uint64)) | _U64(1)
@@ -206,23 +209,61 @@ class _Job:
         sets = rows.mapInArrow(describe, "node bigint, shingles binary").join(wanted.select("node"), "node", "left_semi")
         return self.keep(sets.dropDuplicates(["node"]), "sets")
 
-    def more_pairs(self, members: DataFrame, components: DataFrame, best: bool) -> DataFrame:
-        """Pairs (a, b) of nodes that share a bucket of three or more but, so far, no component; all, or the best of each two components."""
-        rows = members.where("size > 2").join(components, "node", "left").select("band", "node", "size", F.coalesce("component", "node").alias("component"))
-        rows = self.keep(rows, "placed")
-        mixed_up = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-        rows = rows.join(self.keep(mixed_up, "mixed"), "band").join(self.nodes.select("node", "n", "sketch"), "node")
-        blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-        rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "n", "sketch")
-        # the same members often share several bands; each task drops the pairs that it has seen, distinct() the others
-        dealt = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-        return dealt.mapInArrow(lambda batches: pairs_in_buckets(batches, best), "a bigint, b bigint").distinct()
-
-
-def pairs_in_buckets(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
-    """From rows ordered by (band, i, j): the pairs of each such group that may be linked, or of each two components the best one."""
+    def unsettled(self, members: DataFrame, components: DataFrame) -> DataFrame:
+        """(band, node, component, n, sketch, blocks) of buckets of three or more nodes that hold several components."""
+        rows = members.where("size > 2").join(components, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+        rows = self.keep(rows.join(self.nodes.select("node", "n", "sketch"), "node"), "placed")
+        # a block has about BLOCK_ROWS nodes or BLOCK_SHINGLES shingles, whichever is less
+        blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+        several = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), blocks.alias("blocks")).where("low <> high")
+        return self.keep(rows.join(self.keep(several.select("band", "blocks"), "several"), "band"), "unsettled")
+
+    def best_pairs(self, rows: DataFrame) -> DataFrame:
+        """Of each two components in a bucket the pair (a, b) whose sketches agree most."""
+        return _in_blocks(rows, []).mapInArrow(lambda batches: pairs_in_buckets(batches, best_of_components), "a bigint, b bigint").distinct()
+
+    def other_links(self, rows: DataFrame) -> DataFrame:
+        """The links (a, b) between components. The rows bring their sets: what may be similar is decided in place."""
+        sets = self.sets(rows.select("node").distinct())
+        dealt = _in_blocks(rows.join(sets, "node"), ["shingles"])
+        return self.keep(dealt.mapInArrow(lambda batches: pairs_in_buckets(batches, links_of_sets), "a bigint, b bigint").distinct(), "other-links")
+
+
+def _in_blocks(rows: DataFrame, more: list[str]) -> DataFrame:
+    """The rows of each bucket dealt to every pair (i, j) of its blocks."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "n", "sketch", *more)
+    return rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+
+def best_of_components(table: pa.Table, group: np.ndarray, x: np.ndarray, y: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Which of the pairs (x, y) of rows agrees most among those of its group and two components."""
+    component, node = table["component"].to_numpy(), table["node"].to_numpy()
+    low, high = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
+    order = np.lexsort((node[y], node[x], -agree, high, low, group[x]))
+    keys = np.column_stack([group[x], low, high])[order]
+    return order[np.append(True, (keys[1:] != keys[:-1]).any(axis=1))]
+
+
+def links_of_sets(table: pa.Table, group: np.ndarray, x: np.ndarray, y: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Which of the pairs (x, y) of rows, ordered by x, are links."""
+    data, bounds = column_bytes(table["shingles"])
+    flat, bounds = np.frombuffer(data.tobytes(), np.uint64), bounds // 8
+    linked = np.zeros(len(x), bool)
+    heads = np.append(np.flatnonzero(np.append(True, x[1:] != x[:-1])), len(x))
+    for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+        own, others = flat[bounds[x[a]] : bounds[x[a] + 1]], y[a:b]
+        lengths = bounds[others + 1] - bounds[others]
+        theirs = flat[ragged(bounds[others], lengths)]
+        at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+        both = np.add.reduceat((own[at] == theirs).astype(np.int64), np.cumsum(lengths) - lengths)
+        linked[a:b] = OF * both >= SHARE * (len(own) + lengths - both)
+    return np.flatnonzero(linked)
+
+
+def pairs_in_buckets(batches: Iterator[pa.RecordBatch], choose) -> Iterator[pa.RecordBatch]:
+    """From rows ordered by (band, i, j): those pairs of each such group that ``choose`` takes among the possible ones."""
     least = least_sketch_matches()
     waiting: pa.Table | None = None
 
@@ -243,12 +284,9 @@ def pairs_in_buckets(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[
             x, y = x[fit], y[fit]
             agree = np.concatenate([(sketch[x[k : k + 65536]] == sketch[y[k : k + 65536]]).sum(axis=1) for k in range(0, len(x), 65536)] or [np.zeros(0, int)])
             x, y, agree = x[agree >= least], y[agree >= least], agree[agree >= least]
-            if best and len(x):
-                low, high = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
-                order = np.lexsort((node[y], node[x], -agree, high, low, ends[x]))
-                keys = np.column_stack([ends[x], low, high])[order]
-                top = order[np.append(True, (keys[1:] != keys[:-1]).any(axis=1))]
-                x, y = x[top], y[top]
+            if len(x):
+                chosen = choose(table, ends, x, y, agree)
+                x, y = x[chosen], y[chosen]
             a, b = node[x], node[y]
             both = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
@@ -301,9 +339,10 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     members = job.buckets()
     links = job.links(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     components = connected(links, job.keep)
-    for best in (True, False):
-        links = job.keep(links.unionByName(job.links(job.more_pairs(members, components, best))), "all-links")
-        components = connected(links, job.keep)
+    links = job.keep(links.unionByName(job.links(job.best_pairs(job.unsettled(members, components)))), "links")
+    components = connected(links, job.keep)
+    links = links.unionByName(job.other_links(job.unsettled(members, components)))
+    components = connected(links, job.keep)
     placed = job.prints.select("doc_id", "n", "node").join(components, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component"))
     placed = job.keep(placed, "components")
     ids = job.keep(placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id")), "ids")
