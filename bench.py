@@ -11,10 +11,13 @@ from clickloom.plans.registry import queries
 from clickloom.session import build_session
 
 HEADLINE = (
+    "action_scan",
+    "action_scan_text",
     "session_rollup",
     "session_filter",
     "session_aggr_stat",
     "session_detail_filtered",
+    "page_conversion",
     "top10_category",
     "top10_session",
     "top10_session_detail",
@@ -22,6 +25,8 @@ HEADLINE = (
     "session_task",
     "ad_user_click_count",
     "ad_blacklist",
+    "ad_filtered_clicks",
+    "ad_trend_last_hour",
     "ad_stat",
     "ad_province_top3",
     "ad_click_trend",
@@ -29,8 +34,9 @@ HEADLINE = (
     "ad_upsert_accumulate",
     "ad_stream_tables",
     "ad_stream_trend",
+    "ad_stream_running_stat",
 )
-ONCE = {"session_task", "ad_stream_tables", "ad_stream_trend"}
+ONCE = {"session_task", "ad_stream_tables", "ad_stream_trend", "ad_stream_running_stat"}
 REPEATS = 3
 
 

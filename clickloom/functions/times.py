@@ -13,7 +13,8 @@ MINUTE_KEY_FORMAT = "yyyyMMddHHmm"
 
 
 def parse_time(text: Column) -> Column:
-    return F.to_timestamp(text, TIME_FORMAT)
+    """Null where the text is no time: one bad line must not end a scan of the whole log."""
+    return F.try_to_timestamp(text, F.lit(TIME_FORMAT))
 
 
 def format_time(time: Column) -> Column:

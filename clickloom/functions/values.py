@@ -16,8 +16,12 @@ def clicked_id(column: Column) -> Column:
 
 
 def id_list(text: Column) -> Column:
-    """A comma list of ids as an array; a missing or blank list is null."""
-    return F.split(F.nullif(text, F.lit("")), ",").cast("array<bigint>")
+    """A comma list of ids as an array; a missing or blank list is null.
+
+    Empty parts, as a trailing comma leaves, and parts that are no number are left out.
+    """
+    ids = F.transform(F.split(F.nullif(F.trim(text), F.lit("")), ","), lambda part: F.trim(part).try_cast("bigint"))
+    return F.filter(ids, lambda i: i.isNotNull())
 
 
 def ratio(part: Column, total: Column) -> Column:

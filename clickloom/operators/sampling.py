@@ -73,19 +73,16 @@ def extract_cuts(draws: DataFrame, total: int = DEFAULT_EXTRACT_TOTAL) -> DataFr
 def random_extract(draws: DataFrame, cuts: DataFrame) -> DataFrame:
     """The drawn sessions: in each hour the ``quota`` smallest draws.
 
-    Whole slices below the cut are taken as they are; only the slice at the cut is ranked. An hour
-    holding a large share of all sessions is therefore never ranked in one task. Pass cuts read from a
-    table: Spark then knows that one row per hour is few, and joins without moving the sessions.
+    Whole slices below the cut are taken as they are, without moving them; only the slice at the cut is ranked. An hour
+    holding a large share of all sessions is therefore never ranked in one task. ``cuts`` has a row for each hour of the
+    task's days, 24 a day, and is broadcast.
     """
+    placed = draws.withColumn("slice", F.substring("draw", 1, DRAW_PREFIX)).join(F.broadcast(cuts), list(HOUR))
     rank = F.row_number().over(W.partitionBy(*HOUR, "slice").orderBy("draw", "session_id"))
-    return (
-        draws.withColumn("slice", F.substring("draw", 1, DRAW_PREFIX))
-        .join(cuts, list(HOUR))
-        .where(F.col("slice") <= F.col("cut_slice"))
-        .withColumn("rank", rank)
-        .where((F.col("slice") < F.col("cut_slice")) | (F.col("rank") <= F.col("cut_take")))
-        .select("session_id", "start_time")
-    )
+    below = placed.where(F.col("slice") < F.col("cut_slice"))
+    at_cut = placed.where(F.col("slice") == F.col("cut_slice")).withColumn("rank", rank).where("rank <= cut_take")
+    kept = ("session_id", "start_time")
+    return below.select(*kept).unionByName(at_cut.select(*kept))
 
 
 def extract_report(extracted: DataFrame, detail: DataFrame) -> DataFrame:

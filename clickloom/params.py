@@ -44,6 +44,7 @@ class TaskParams:
     sex: str | None = None
     keywords: tuple[str, ...] | None = None
     category_ids: tuple[int, ...] | None = None
+    page_flow: tuple[int, ...] | None = None
 
     @classmethod
     def from_json_map(cls, values: Mapping[str, Sequence[str | None] | None]) -> TaskParams:
@@ -51,7 +52,7 @@ class TaskParams:
         start, end = _joined(values, "startDate"), _joined(values, "endDate")
         if start is None or end is None:
             raise ValueError("task parameters need both startDate and endDate")
-        ids = _listed(values, "categoryIds")
+        ids, pages = _listed(values, "categoryIds"), _listed(values, "targetPageFlow")
         return cls(
             start_date=date.fromisoformat(start),
             end_date=date.fromisoformat(end),
@@ -62,5 +63,6 @@ class TaskParams:
             sex=_joined(values, "sex"),
             keywords=_listed(values, "keywords"),
             # An id that is no number can match no category, so it is left out of the list.
+            page_flow=None if pages is None else tuple(map(int, pages)),
             category_ids=None if ids is None else tuple(i for i in map(_id_or_none, ids) if i is not None),
         )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from clickloom.operators import ads
-from clickloom.session import scratch_path, stored
+from clickloom.session import stored
 
 
 @dataclass(frozen=True)
@@ -18,13 +18,13 @@ class DailyAds:
     province_top: DataFrame
 
 
-def daily_ads(clicks: DataFrame, threshold: int = ads.BLACKLIST_THRESHOLD) -> DailyAds:
+def daily_ads(clicks: DataFrame, scratch: str, threshold: int = ads.BLACKLIST_THRESHOLD) -> DailyAds:
     """Count all clicks per user, then the clicks of users who never reach ``threshold`` per city and province.
 
     The log is read once, into one count per (date, province, city, user, ad), and all tables add up
-    from it; a user or ad with a large share of the clicks is small before anything is joined.
+    from it; a user or ad with a large share of the clicks is small before anything is joined. The counts stay in
+    ``scratch`` (see ``session.scratch_folder``) as long as the tables are read.
     """
-    scratch = scratch_path(clicks.sparkSession, "daily-ads")
     cells = stored(ads.click_cells(clicks), f"{scratch}/cells")
     user_counts = ads.user_click_counts(cells)
     blacklist = stored(ads.over_clicking_users(user_counts, threshold), f"{scratch}/blacklist")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from clickloom.operators.sessions import DETAIL_COLUMNS
 from clickloom.plans.registry import (
     EXTRACT_SEED,
     EXTRACT_TOTAL,
     OVERLAP_DAY,
+    PAGE_FLOW,
     PICKY,
     SOME_DAYS,
     SPLIT_DAY,
@@ -49,6 +51,19 @@ _DETAIL = f"""
   array_to_string(pay_categories, ',') as pay_category_ids,
   array_to_string(pay_products, ',') as pay_product_ids"""
 
+# the text log adds parts that do not read after each list; they are left out again
+_TEXT_LISTS = """array_to_string(order_categories, ',') as order_category_ids,
+  array_to_string(order_products, ',') as order_product_ids, array_to_string(pay_categories, ',') as pay_category_ids,
+  array_to_string(pay_products, ',') as pay_product_ids"""
+
+_DETAILS = f"select {_DETAIL} from actions"
+_DETAIL_TEXT = ", ".join(f"coalesce(cast({name} as varchar), '')" for name in DETAIL_COLUMNS)
+_RATIO_TEXT = ", ".join(
+    f"coalesce(cast(cast(round({kind}_length_{b}_ratio * 100) as bigint) as varchar), '')"
+    for kind, buckets in (("visit", VISIT_BUCKETS), ("step", STEP_BUCKETS))
+    for b in buckets
+)
+
 _SETS = """
     array_to_string(list_sort(list(distinct search_keyword) filter (search_keyword is not null)), ',')
       as search_keywords,
@@ -223,6 +238,22 @@ def oracle_sql() -> dict[str, str]:
         "action_scan": f"""with {_ACTIONS}
 select {_DAY}, user_id % 10 as city_id, {_DETAIL} from actions
 where date between '{SOME_DAYS.start_date}' and '{SOME_DAYS.end_date}'""",
+        "page_conversion": f"""with {_ACTIONS},
+moves as (select page_id, lead(page_id) over (partition by session_id order by acted_at, page_id) as next_page from actions),
+steps as (select unnest([{_quoted(tuple(range(1, len(PAGE_FLOW))))}]) as step, unnest([{_quoted(PAGE_FLOW[:-1])}]) as page_id,
+  unnest([{_quoted(PAGE_FLOW[1:])}]) as next_page),
+counted as (
+  select step, page_id, next_page,
+    (select count(*) from moves m where m.page_id = s.page_id and m.next_page = s.next_page) as jumps
+  from steps s),
+based as (select *, coalesce(lag(jumps) over (order by step),
+  (select count(*) from actions where page_id = {PAGE_FLOW[0]})) as base from counted)
+select step, page_id, next_page, jumps, base, round(jumps / nullif(base, 0), 4) as rate from based""",
+        "action_scan_text": f"""with {_ACTIONS}
+select {_DAY}, user_id % 10 as city_id, user_id, session_id, page_id,
+  case when page_id <> 7 then strftime(make_timestamp(acted_at * 1000000), {_TIME}) end as action_time, search_keyword,
+  click_category_id, click_product_id, {_TEXT_LISTS}
+from actions where date between '{SOME_DAYS.start_date}' and '{SOME_DAYS.end_date}'""",
         "session_rollup": f"""with {_SESSIONS},
 sets as (select session_id, {_SETS} from actions group by session_id)
 select {_FACTS}, coalesce(search_keywords, '') as search_keywords,
@@ -253,14 +284,16 @@ select {_DETAIL} from actions where session_id in (select session_id from extrac
         "session_task": f"""with {_TASK},
 sets as (select session_id, {_SETS} from actions group by session_id),
 content as (
-  select 'session_aggr_stat' as table_name, cast(count(*) as varchar) as content from wanted
+  select 'session_aggr_stat' as table_name, concat_ws('|', session_count, {_RATIO_TEXT}) as content
+  from ({_shares('wanted')})
   union all select 'top10_category', concat_ws('|', category_id, click_count, order_count, pay_count) from hottest
   union all select 'top10_session', concat_ws('|', category_id, session_id, click_count) from busiest
-  union all select 'session_random_extract', concat_ws('|', session_id, coalesce(search_keywords, ''),
+  union all select 'session_random_extract', concat_ws('|', session_id,
+    strftime(make_timestamp(first_at * 1000000), {_TIME}), coalesce(search_keywords, ''),
     coalesce(click_category_ids, '')) from extracted join sets using (session_id)
-  union all select 'session_detail', concat_ws('|', 'extract', session_id) from actions
+  union all select 'session_detail', concat_ws('|', 'extract', {_DETAIL_TEXT}) from ({_DETAILS})
     where session_id in (select session_id from extracted)
-  union all select 'session_detail', concat_ws('|', 'top10', session_id) from actions
+  union all select 'session_detail', concat_ws('|', 'top10', {_DETAIL_TEXT}) from ({_DETAILS})
     where session_id in (select session_id from busiest))
 select table_name, content, count(*) as rows from content group by all""",
         "ad_log_parse": f"""with {_CLICKS}

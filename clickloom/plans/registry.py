@@ -6,11 +6,11 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.values import as_text
-from clickloom.operators import ads, categories, sampling, sessions, stats, upsert
+from clickloom.operators import ads, categories, pages, sampling, sessions, stats, upsert
 from clickloom.params import TaskParams
 from clickloom.plans.daily_ads import DailyAds, daily_ads
 from clickloom.plans.session_task import SessionTables, extracted_sessions, run_session_task
@@ -24,7 +24,7 @@ from clickloom.streaming.ads import ClickStream, start_running_stat, start_trend
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ALL_DAYS = TaskParams(date.fromisoformat(FIRST_DAY), date.fromisoformat(LAST_DAY))
+ALL_DAYS = TaskParams(date.fromisoformat(FIRST_DAY), date.fromisoformat(LAST_DAY))  # no data can leave this range
 SOME_DAYS = TaskParams(date(2024, 1, 5), date(2024, 1, 20))
 PICKY = TaskParams(
     ALL_DAYS.start_date,
@@ -37,6 +37,7 @@ PICKY = TaskParams(
     keywords=("kw1", "kw2", "kw5"),
     category_ids=tuple(range(10, 40)),
 )
+PAGE_FLOW = (1, 2, 3, 4)
 EXTRACT_TOTAL, EXTRACT_SEED = 3000, 7
 SPLIT_DAY, OVERLAP_DAY = "2024-01-16", "2024-01-11"
 STREAM_SLICES = 4
@@ -75,7 +76,7 @@ def _clicks(fx: Fixtures) -> DataFrame:
 
 
 def _daily(fx: Fixtures) -> DailyAds:
-    return daily_ads(_clicks(fx), AD_THRESHOLD)
+    return daily_ads(_clicks(fx), scratch_path(fx.spark, "daily-ads"), AD_THRESHOLD)
 
 
 # Sessions
@@ -116,6 +117,17 @@ def session_detail_filtered(fx: Fixtures) -> DataFrame:
     return sessions.actions_of(_actions(fx), _stored(_wanted(fx, PICKY), "wanted"))
 
 
+@_query
+def page_conversion(fx: Fixtures) -> DataFrame:
+    return pages.page_conversion(_actions(fx), PAGE_FLOW)
+
+
+@_query
+def action_scan_text(fx: Fixtures) -> DataFrame:
+    """The log with text dates and times and comma lists, some of which do not read."""
+    return scan_actions(fx.text_action_log(), SOME_DAYS)
+
+
 # Categories
 
 
@@ -181,6 +193,12 @@ def extract_detail(fx: Fixtures) -> DataFrame:
 # The whole task
 
 
+def _shown(column: str) -> Column:
+    """A value as text, the same for any engine: ratios in hundredths, nothing as an empty text."""
+    value = F.round(F.col(column) * 100).cast("bigint") if column.endswith("_ratio") else F.col(column)
+    return F.coalesce(value.cast("string"), F.lit(""))
+
+
 @_query
 def session_task(fx: Fixtures) -> DataFrame:
     """Run the job and return its five tables as rows of (table, content, rows)."""
@@ -192,15 +210,15 @@ def session_task(fx: Fixtures) -> DataFrame:
         spark, TASK_ID, SessionTables(fx.action_log(), fx.users(), tasks), results, EXTRACT_TOTAL, EXTRACT_SEED
     )
     shown = {
-        "session_aggr_stat": ("session_count",),
+        "session_aggr_stat": tuple(c for c in schema_of("session_aggr_stat").names if c != "task_id"),
         "top10_category": ("category_id", "click_count", "order_count", "pay_count"),
         "top10_session": ("category_id", "session_id", "click_count"),
-        "session_random_extract": ("session_id", "search_keywords", "click_category_ids"),
-        "session_detail": ("source", "session_id"),
+        "session_random_extract": ("session_id", "start_time", "search_keywords", "click_category_ids"),
+        "session_detail": ("source", *sessions.DETAIL_COLUMNS),
     }
     parts = [
         as_text(results.read(spark, table).where(F.col("task_id") == TASK_ID))
-        .select(F.lit(table).alias("table_name"), F.concat_ws("|", *columns).alias("content"))
+        .select(F.lit(table).alias("table_name"), F.concat_ws("|", *map(_shown, columns)).alias("content"))
         .groupBy("table_name", "content")
         .agg(F.count(F.lit(1)).alias("rows"))
         for table, columns in shown.items()
@@ -293,7 +311,7 @@ def _in_slices(fx: Fixtures, root: str, run: Callable[[DataFrame], None]) -> Non
 
 
 def _replayed(fx: Fixtures) -> ClickStream:
-    stream = ClickStream(fx.spark, scratch_path(fx.spark, "ad-clicks"), AD_THRESHOLD)
+    stream = ClickStream(fx.spark, scratch_path(fx.spark, "ad-clicks"), AD_THRESHOLD, fold_every=2)
 
     def run(clicks: DataFrame) -> None:
         stream.start(clicks, available_now=True).awaitTermination()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import categories, sampling, sessions, stats
 from clickloom.params import DEFAULT_EXTRACT_TOTAL, TaskParams
 from clickloom.session import scratch_folder, stored
-from clickloom.sinks.tables import ParquetTables
+from clickloom.sinks.tables import TaskTables
 from clickloom.sources.tables import find_task, scan_actions
 
 
@@ -34,7 +34,7 @@ def run_session_task(
     spark: SparkSession,
     task_id: int,
     tables: SessionTables,
-    results: ParquetTables,
+    results: TaskTables,
     extract_total: int = DEFAULT_EXTRACT_TOTAL,
     seed: int = 0,
 ) -> TaskParams:
@@ -55,7 +55,7 @@ def _write_results(
     actions: DataFrame,
     users: DataFrame,
     params: TaskParams,
-    results: ParquetTables,
+    results: TaskTables,
     scratch: str,
     extract_total: int,
     seed: int,
@@ -75,11 +75,7 @@ def _write_results(
         busiest.select("session_id", F.lit("top10").alias("source")).distinct()
     )
     # (session_id, source) is unique, so each action appears once per source.
-    detail = actions.join(stored(picked, f"{scratch}/picked"), "session_id")
+    detail = stored(actions.join(stored(picked, f"{scratch}/picked"), "session_id"), f"{scratch}/detail")
     results.write_task_rows(detail, "session_detail", task_id, by=("source",))
-
-    written = results.read(actions.sparkSession, "session_detail").where(
-        (F.col("task_id") == task_id) & (F.col("source") == "extract")
-    )
-    report = sampling.extract_report(extracted, written)
+    report = sampling.extract_report(extracted, detail.where(F.col("source") == "extract"))
     results.write_task_rows(report, "session_random_extract", task_id)

@@ -38,10 +38,14 @@ def build_session(app_name: str = "clickloom", master: str | None = None, **conf
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) is a local folder chosen.
+    Only a session on one machine may go without: a temporary folder is chosen there. Elsewhere executors would
+    not see each other's files, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="clickloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

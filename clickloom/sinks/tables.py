@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +11,12 @@ from clickloom.functions.values import as_text
 from clickloom.schemas import conform, schema_of
 
 
+class TaskTables(Protocol):
+    """Where a task's result rows go."""
+
+    def write_task_rows(self, df: DataFrame, table: str, task_id: int, by: tuple[str, ...] = ()) -> None: ...
+
+
 @dataclass(frozen=True)
 class ParquetTables:
     """Result tables as Parquet folders under one root."""
@@ -47,7 +54,10 @@ class JdbcTables:
     options: dict[str, str] = field(default_factory=dict)
 
     def write_task_rows(self, df: DataFrame, table: str, task_id: int, by: tuple[str, ...] = ()) -> None:
-        """Insert a task's rows. Lists are stored as comma text, as most databases have no list type."""
+        """Insert a task's rows. Lists are stored as comma text, as most databases have no list type.
+
+        This appends: before a task runs again, its rows have to be deleted in the database.
+        """
         self._write(as_text(conform(df, table, task_id=task_id)), table, "append")
 
     def publish(self, df: DataFrame, table: str) -> None:

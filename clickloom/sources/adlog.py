@@ -36,11 +36,11 @@ def file_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.options(**options).text(path).select(F.col("value").alias("line"))
 
 
-def parse_ad_log(lines: DataFrame, metrics: str | None = None) -> DataFrame:
+def parse_ad_log(lines: DataFrame, metrics: str | None = "ad_log") -> DataFrame:
     """Typed clicks from ``line``. Lines that are short or whose numbers do not read are dropped.
 
-    With ``metrics`` the numbers of lines and of dropped lines are observed under that name; a stream
-    reports them in its progress.
+    The numbers of lines and of dropped lines are observed under the name ``metrics``; a stream reports them in its
+    progress. None observes nothing. Times after LAST_MILLIS count as unreadable, as they have no date of four digits.
     """
     readable = F.col("line").rlike(READABLE)
     if metrics is not None:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickloom.operators import ads
-from clickloom.sinks.tables import ParquetTables
 from clickloom.streaming.state import FOLD_EVERY, BannedUsers, DailyCounts, last_batch
 
 BATCH_INTERVAL = "5 seconds"
-FILES_PER_BATCH = 4
+ROWS_PER_FILE = 500_000
 
 
 def _checkpoint(root: str) -> str:
@@ -44,7 +45,6 @@ class ClickStream:
         self.banned = BannedUsers(spark, root, fold_every)
         self.user_counts = DailyCounts(spark, root, "ad_user_click_count", fold_every=fold_every)
         self.city_counts = DailyCounts(spark, root, "ad_stat", fold_every=fold_every)
-        self.results = ParquetTables(root)
 
     def process(self, clicks: DataFrame, batch_id: int) -> None:
         """One micro-batch. Running it again with the same clicks changes nothing."""
@@ -58,29 +58,24 @@ class ClickStream:
             self.city_counts.write(ads.city_click_counts(cells), batch_id)
         finally:
             cells.unpersist()
-        # As many as the batch has days: one or two in a live stream.
-        days = self.city_counts.added(batch_id).select(F.col("date").cast("string")).distinct()
-        dates = [row.date for row in days.collect()]
-
-        totals = self.user_counts.totals(batch_id, dates, touched_only=True)
+        totals = self.user_counts.totals(batch_id, touched_only=True)
         self.banned.write(ads.over_clicking_users(totals, self.threshold), batch_id)
 
-        # All provinces of the batch's days are ranked anew, so that a day is one group to replace.
-        city_totals = self.city_counts.totals(batch_id, dates)
-        top = ads.province_top_ads(ads.province_click_counts(city_totals))
-        self.results.replace_groups(top, "ad_province_top3", ("date",))
-
     def start(self, clicks: DataFrame, available_now: bool = False) -> StreamingQuery:
         return _started(clicks.writeStream.foreachBatch(self.process), self.root, available_now)
 
-    def tables(self) -> dict[str, DataFrame]:
-        """The tables as the last finished batch left them."""
+    def tables(self, dates: Iterable[str] | None = None) -> dict[str, DataFrame]:
+        """The tables as the last finished batch left them, for all days or the given ones.
+
+        The top ads are ranked from the city counts when they are read.
+        """
         last = last_batch(self.spark, _checkpoint(self.root))
+        city_counts = self.city_counts.totals(last, dates)
         return {
             "ad_blacklist": self.banned.after(last),
-            "ad_user_click_count": self.user_counts.totals(last),
-            "ad_stat": self.city_counts.totals(last),
-            "ad_province_top3": self.results.read(self.spark, "ad_province_top3"),
+            "ad_user_click_count": self.user_counts.totals(last, dates),
+            "ad_stat": city_counts,
+            "ad_province_top3": ads.province_top_ads(ads.province_click_counts(city_counts)),
         }
 
 
@@ -96,16 +91,22 @@ class CountStream:
 
     def process(self, changed: DataFrame, batch_id: int) -> None:
         self.counts.fold(batch_id)
-        # The state has a fixed number of partitions, and each would leave a file of few rows.
-        self.counts.write(changed.repartition(FILES_PER_BATCH), batch_id)
+        # The state has a fixed number of partitions, and each would leave a file of few rows; a micro-batch runs without
+        # adaptive execution, so the number of files is set from the number of rows.
+        changed = changed.persist()
+        try:
+            files = -(-changed.count() // ROWS_PER_FILE)
+            self.counts.write(changed.coalesce(max(1, files)), batch_id)
+        finally:
+            changed.unpersist()
 
     def start(self, counts: DataFrame, available_now: bool = False) -> StreamingQuery:
         writer = counts.writeStream.outputMode("update").foreachBatch(self.process)
         return _started(writer, self.root, available_now)
 
-    def table(self) -> DataFrame:
-        """The counts as the last finished batch left them."""
-        return self.counts.totals(last_batch(self.spark, _checkpoint(self.root)))
+    def table(self, dates: Iterable[str] | None = None) -> DataFrame:
+        """The counts as the last finished batch left them, for all days or the given ones."""
+        return self.counts.totals(last_batch(self.spark, _checkpoint(self.root)), dates)
 
 
 def start_trend(
@@ -127,8 +128,22 @@ def start_trend(
 
 
 def start_running_stat(
-    spark: SparkSession, clicks: DataFrame, root: str, available_now: bool = False
+    spark: SparkSession,
+    clicks: DataFrame,
+    root: str,
+    watermark: str | None = None,
+    available_now: bool = False,
 ) -> tuple[CountStream, StreamingQuery]:
-    """Clicks per day, province, city and ad, for a log without a blacklist."""
+    """Clicks per day, province, city and ad, for a log without a blacklist.
+
+    With a watermark, say ``"2 days"``, days that ended longer ago leave the state and their late clicks are dropped.
+    """
+    if watermark is not None:
+        # the day as a window: Spark then knows when its state has had its time
+        day = F.window("click_time", "1 day")
+        counts = clicks.withWatermark("click_time", watermark).groupBy(day, "date", "province", "city", "ad_id").count()
+        counts = counts.select("date", "province", "city", "ad_id", F.col("count").alias("click_count"))
+        stream = CountStream(spark, root, "ad_stat")
+        return stream, stream.start(counts, available_now)
     stream = CountStream(spark, root, "ad_stat")
     return stream, stream.start(ads.city_click_counts(clicks), available_now)

@@ -8,6 +8,8 @@ checkpoint; tables and checkpoint therefore live and are removed together.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,20 +58,32 @@ class _BatchFolders:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def _last_fold(self, batch_id: int) -> int:
+    def _last_fold(self, batch_id: int, level: int = 1) -> int:
         """Batches below this id are in the folded part when ``batch_id`` runs."""
-        return batch_id // self.fold_every * self.fold_every
+        every = self.fold_every**level
+        return batch_id // every * every
 
-    def _folds_at(self, batch_id: int) -> bool:
-        return batch_id > 0 and batch_id % self.fold_every == 0
+    def _folds_at(self, batch_id: int, level: int = 1) -> bool:
+        return batch_id > 0 and batch_id % self.fold_every**level == 0
+
+    def _remove(self, path: str) -> None:
+        """Delete what ``path`` matches; gone already is fine, as a batch may run again."""
+        files, target = located(self.spark, path)
+        for found in files.globStatus(target) or ():
+            files.delete(found.getPath(), True)
+
+    def _remove_batches(self, folded_at: int) -> None:
+        """Delete the batches that the fold before the one at ``folded_at`` has taken in: one period is kept for retries."""
+        for i in range(max(0, folded_at - 2 * self.fold_every), folded_at - self.fold_every):
+            self._remove(self._batch_path(i))
 
 
 class DailyCounts(_BatchFolders):
     """Counts by date and further keys, kept as per-batch parts that combine into running totals.
 
-    Batches are folded ``fold_every`` at a time into ``folded/date=…/upto=…``. Folded parts are never
-    rewritten and are read for the wanted dates only, so neither folding nor reading grows with the
-    stream's age.
+    Batches are folded ``fold_every`` at a time into parts ``folded1/date=…/upto=…``, and as many of those into
+    parts of ``folded2``. Reading a day therefore meets at most ``fold_every`` batches, ``fold_every`` parts of the
+    first level and, at 64, four or five of the second. What has been folded is deleted one period later.
     """
 
     def __init__(
@@ -84,9 +98,8 @@ class DailyCounts(_BatchFolders):
         self.keys = [name for name in self.schema.names if name != "click_count"]
         self.combine = combine
 
-    @property
-    def _folded_path(self) -> str:
-        return f"{self.root}/folded"
+    def _folded_path(self, level: int) -> str:
+        return f"{self.root}/folded{level}"
 
     def _combined(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*self.keys).agg(self.combine("click_count").alias("click_count"))
@@ -94,40 +107,53 @@ class DailyCounts(_BatchFolders):
     def fold(self, batch_id: int) -> None:
         """Call before ``batch_id`` is written; does something every ``fold_every`` batches."""
         if self._folds_at(batch_id):
-            rows = self._combined(self._batches(range(batch_id - self.fold_every, batch_id)))
-            (
-                rows.withColumn("upto", F.lit(batch_id).cast("bigint"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("date", "upto")
-                .parquet(self._folded_path)
-            )
-
-    def _folded(self, upto: int, dates: Iterable[str] | None) -> DataFrame | None:
-        if dates is None:
-            paths = [self._folded_path]
-        else:
-            paths = [f"{self._folded_path}/date={date}" for date in dates]
-        paths = [path for path in paths if _exists(self.spark, path)]
-        if not paths:
+            self._write_fold(self._batches(range(batch_id - self.fold_every, batch_id)), batch_id, 1)
+            self._remove_batches(batch_id)
+        if self._folds_at(batch_id, 2):
+            period = self.fold_every**2
+            parts = self._folded(1, batch_id - period, batch_id)
+            if parts is not None:
+                self._write_fold(parts, batch_id, 2)
+            for upto in range(max(0, batch_id - 2 * period) + self.fold_every, batch_id - period + 1, self.fold_every):
+                self._remove(f"{self._folded_path(1)}/date=*/upto={upto}")
+
+    def _write_fold(self, rows: DataFrame, upto: int, level: int) -> None:
+        (
+            self._combined(rows)
+            .withColumn("upto", F.lit(upto).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date", "upto")
+            .parquet(self._folded_path(level))
+        )
+
+    def _folded(self, level: int, above: int, upto: int) -> DataFrame | None:
+        """The parts of a level for batches from ``above`` to below ``upto``."""
+        path = self._folded_path(level)
+        if upto <= above or not _exists(self.spark, path):
             return None
         stored = StructType([*self.schema, StructField("upto", LongType())])
-        reader = self.spark.read.schema(stored).option("basePath", self._folded_path)
-        return reader.parquet(*paths).where(F.col("upto") <= upto).select(*self.schema.names)
+        parts = self.spark.read.schema(stored).parquet(path)
+        return parts.where((F.col("upto") > above) & (F.col("upto") <= upto)).select(*self.schema.names)
 
     def totals(
         self, batch_id: int, dates: Iterable[str] | None = None, touched_only: bool = False
     ) -> DataFrame:
         """Running totals after ``batch_id``, for the given dates, or just the keys the batch has added to."""
-        upto = self._last_fold(batch_id)
-        rows = self._batches(range(upto, batch_id + 1))
-        folded = self._folded(upto, dates) if upto else None
-        if folded is not None:
-            rows = rows.unionByName(folded)
+        first, second = self._last_fold(batch_id), self._last_fold(batch_id, 2)
+        parts = [
+            self._batches(range(first, batch_id + 1)),
+            self._folded(1, second, first),
+            self._folded(2, 0, second),
+        ]
+        rows = reduce(DataFrame.unionByName, (part for part in parts if part is not None))
         if dates is not None:
-            rows = rows.where(F.col("date").cast("string").isin(*dates))
+            rows = rows.where(F.col("date").isin([date.fromisoformat(d) for d in dates]))
         if touched_only:
-            rows = rows.join(self.added(batch_id).select(*self.keys), self.keys, "left_semi")
+            added = self.added(batch_id).select(*self.keys)
+            # Days between the years -6060 and 9999, so a few million at the very most; they prune the folded parts.
+            rows = rows.join(F.broadcast(added.select("date").distinct()), "date", "left_semi")
+            rows = rows.join(added, self.keys, "left_semi")
         return self._combined(rows)
 
 
@@ -144,6 +170,8 @@ class BannedUsers(_BatchFolders):
         if self._folds_at(batch_id):
             users = self._since_fold(batch_id - self.fold_every, batch_id)
             users.write.mode("overwrite").parquet(self._folded_path(batch_id))
+            self._remove(self._folded_path(batch_id - 2 * self.fold_every))
+            self._remove_batches(batch_id)
 
     def _since_fold(self, upto: int, batch_id: int) -> DataFrame:
         users = self._batches(range(upto, batch_id))

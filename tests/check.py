@@ -61,7 +61,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if args and name not in args:
+        if (args and name not in args) or name not in sqls:
             continue
         began = time.time()
         try:

@@ -63,3 +63,14 @@ def test_ratio_rounds_half_up_and_survives_zero(spark):
 def test_as_text(spark):
     df = spark.sql("select date'2024-03-01' as d, timestamp'2024-03-01 07:05:09' as t, array(3, 1) as l, 5 as n")
     assert tuple(values.as_text(df).first()) == ("2024-03-01", "2024-03-01 07:05:09", "3,1", 5)
+
+
+def test_id_lists_leave_out_what_does_not_read(spark):
+    texts = [("1,2,",), ("1, 2",), (",,",), ("",), (None,), ("x,3,99999999999999999999",)]
+    got = spark.createDataFrame(texts, "t string").select(values.id_list(F.col("t")).alias("ids")).collect()
+    assert [r.ids for r in got] == [[1, 2], [1, 2], [], None, None, [3]]
+
+
+def test_a_time_that_does_not_read_is_null(spark):
+    got = spark.createDataFrame([("2024-01-02 03:04:05",), ("soon",)], "t string").select(times.parse_time(F.col("t")).alias("t"))
+    assert [r.t is None for r in got.collect()] == [False, True]

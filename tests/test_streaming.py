@@ -9,7 +9,7 @@ import pytest
 
 from clickloom.operators import ads
 from clickloom.sources.adlog import file_lines, parse_ad_log
-from clickloom.streaming.ads import FILES_PER_BATCH, ClickStream, start_running_stat, start_trend
+from clickloom.streaming.ads import ClickStream, start_running_stat, start_trend
 from clickloom.streaming.state import last_batch
 from frames import lines, log_line
 
@@ -89,8 +89,23 @@ def test_a_batch_that_runs_again_changes_nothing(spark, rows, tmp_path):
         for _ in range(2):  # as after a failure before the commit, also where a fold has been done
             stream.process(_clicks(spark, batch), i)
     assert _tables(stream, 4, rows) == _model(batches, 3)
-    top = rows(ads.province_top_ads(ads.province_click_counts(stream.city_counts.totals(4))))
-    assert rows(stream.results.read(spark, "ad_province_top3")) == top
+
+
+def test_what_is_folded_is_deleted_and_folders_stay_few(spark, rows, tmp_path):
+    batches = _random_batches(13)
+    stream = ClickStream(spark, str(tmp_path), threshold=3, fold_every=2)
+    for i, batch in enumerate(batches):
+        stream.process(_clicks(spark, batch), i)
+        if i in (8, 12):
+            stream.process(_clicks(spark, batch), i)  # a retry of the batch that has folded and deleted
+        for table in ("ad_stat", "ad_user_click_count", "ad_blacklist"):
+            assert len(list((tmp_path / table / "batches").iterdir())) <= 4
+        parts = {p.name for p in (tmp_path / "ad_stat").glob("folded1/date=*/upto=*")}
+        assert len(parts) <= 4
+    assert _tables(stream, 12, rows) == _model(batches, 3)
+    assert len(list((tmp_path / "ad_blacklist" / "folded").iterdir())) <= 2
+    one = rows(stream.city_counts.totals(12, dates=["2024-03-02"]))
+    assert one == [r for r in rows(stream.city_counts.totals(12)) if r[0] == date(2024, 3, 2)]
 
 
 def test_clicks_of_the_crossing_batch_count_and_later_ones_do_not(spark, rows, tmp_path):
@@ -191,7 +206,19 @@ def test_running_stat_equals_batch(spark, rows, three_files, tmp_path):
     expected = rows(ads.city_click_counts(_all_clicks(spark, three_files)))
     assert rows(stream.table()) == expected
     files = [f for f in os.listdir(tmp_path / "state" / "ad_stat" / "batches" / "0") if f.endswith(".parquet")]
-    assert len(files) <= FILES_PER_BATCH
+    assert len(files) == 1  # few rows make one file, however many partitions the state has
+
+
+def test_running_stat_with_a_watermark_drops_clicks_of_old_days(spark, rows, tmp_path):
+    log = tmp_path / "log"
+    _write(log, "1.txt", [_line(1, day=1)] * 2, 1000)
+    _write(log, "2.txt", [_line(1, day=9)], 2000)
+    _write(log, "3.txt", [_line(1, day=9)], 3000)
+    _write(log, "4.txt", [_line(1, day=1), _line(1, day=8)], 4000)
+    clicks = parse_ad_log(file_lines(spark, str(log), maxFilesPerTrigger="1"))
+    stream, query = start_running_stat(spark, clicks, str(tmp_path / "state"), watermark="2 days", available_now=True)
+    _finish(query)
+    assert [(r[0].day, r[-1]) for r in rows(stream.table())] == [(1, 2), (8, 1), (9, 2)]
 
 
 def test_an_unreached_threshold_gives_the_plain_counts(spark, rows, three_files, tmp_path):
