@@ -7,7 +7,7 @@ shares none with a probability of 5e-6, less above.
 Pairs are tested in three rounds, so that a large group of near copies needs no pairs among itself:
 
 1. in every bucket each node with the bucket's least node. The links found give components;
-2. in buckets of three or more nodes that still hold several components, of each two components the pair whose sketches agree most;
+2. in buckets of three or more nodes that still hold several components, of each component the pair to another one whose sketches agree most;
 3. in those that hold several components after that, all pairs of nodes of different ones. The rows bring their sets along, so that a pair is
    decided where it is met and only links are written.
 
@@ -219,7 +219,7 @@ class _Job:
         return self.keep(rows.join(self.keep(several.select("band", "blocks"), "several"), "band"), "unsettled")
 
     def best_pairs(self, rows: DataFrame) -> DataFrame:
-        """Of each two components in a bucket the pair (a, b) whose sketches agree most."""
+        """Of each component in a bucket the pair (a, b) to another component whose sketches agree most."""
         return _in_blocks(rows, []).mapInArrow(lambda batches: pairs_in_buckets(batches, best_of_components), "a bigint, b bigint").distinct()
 
     def other_links(self, rows: DataFrame) -> DataFrame:
@@ -238,12 +238,13 @@ def _in_blocks(rows: DataFrame, more: list[str]) -> DataFrame:
 
 
 def best_of_components(table: pa.Table, group: np.ndarray, x: np.ndarray, y: np.ndarray, agree: np.ndarray) -> np.ndarray:
-    """Which of the pairs (x, y) of rows agrees most among those of its group and two components."""
-    component, node = table["component"].to_numpy(), table["node"].to_numpy()
-    low, high = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
-    order = np.lexsort((node[y], node[x], -agree, high, low, group[x]))
-    keys = np.column_stack([group[x], low, high])[order]
-    return order[np.append(True, (keys[1:] != keys[:-1]).any(axis=1))]
+    """Of each component in a group the pair (x, y) of rows, among those that leave it, that agrees most."""
+    component = table["component"].to_numpy()
+    which = np.tile(np.arange(len(x)), 2)
+    leaves = np.concatenate([component[x], component[y]])
+    order = np.lexsort((which, -agree[which], leaves, group[x][which]))
+    keys = np.column_stack([group[x][which], leaves])[order]
+    return np.unique(which[order[np.append(True, (keys[1:] != keys[:-1]).any(axis=1))]])
 
 
 def links_of_sets(table: pa.Table, group: np.ndarray, x: np.ndarray, y: np.ndarray, agree: np.ndarray) -> np.ndarray:
