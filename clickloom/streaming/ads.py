@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickloom.operators import ads
-from clickloom.streaming.state import FOLD_EVERY, BannedUsers, DailyCounts, last_batch
+from clickloom.streaming.state import FOLD_EVERY, BannedUsers, DailyCounts, last_batch, mark_finished
 
 BATCH_INTERVAL = "5 seconds"
 ROWS_PER_FILE = 500_000
 
 
-def _checkpoint(root: str) -> str:
-    return f"{root}/checkpoint"
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Another partition count for the time of a stream's start; a stream copies the session's settings there."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if partitions is not None:
+        spark.conf.set(name, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
-def _started(writer: DataStreamWriter, root: str, available_now: bool) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", _checkpoint(root))
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=BATCH_INTERVAL).start()
+def _started(
+    spark: SparkSession, writer: DataStreamWriter, root: str, available_now: bool, partitions: int | None
+) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", f"{root}/checkpoint")
+    trigger = {"availableNow": True} if available_now else {"processingTime": BATCH_INTERVAL}
+    with _shuffle_partitions(spark, partitions):
+        return writer.trigger(**trigger).start()
 
 
 class ClickStream:
@@ -60,16 +72,19 @@ class ClickStream:
             cells.unpersist()
         totals = self.user_counts.totals(batch_id, touched_only=True)
         self.banned.write(ads.over_clicking_users(totals, self.threshold), batch_id)
+        mark_finished(self.spark, self.root, batch_id)
 
-    def start(self, clicks: DataFrame, available_now: bool = False) -> StreamingQuery:
-        return _started(clicks.writeStream.foreachBatch(self.process), self.root, available_now)
+    def start(self, clicks: DataFrame, available_now: bool = False, partitions: int | None = None) -> StreamingQuery:
+        """``partitions``: shuffle partitions of the stream's own batches, if not the session's."""
+        writer = clicks.writeStream.foreachBatch(self.process)
+        return _started(self.spark, writer, self.root, available_now, partitions)
 
     def tables(self, dates: Iterable[str] | None = None) -> dict[str, DataFrame]:
         """The tables as the last finished batch left them, for all days or the given ones.
 
         The top ads are ranked from the city counts when they are read.
         """
-        last = last_batch(self.spark, _checkpoint(self.root))
+        last = last_batch(self.spark, self.root)
         city_counts = self.city_counts.totals(last, dates)
         return {
             "ad_blacklist": self.banned.after(last),
@@ -99,14 +114,16 @@ class CountStream:
             self.counts.write(changed.coalesce(max(1, files)), batch_id)
         finally:
             changed.unpersist()
+        mark_finished(self.spark, self.root, batch_id)
 
-    def start(self, counts: DataFrame, available_now: bool = False) -> StreamingQuery:
+    def start(self, counts: DataFrame, available_now: bool = False, partitions: int | None = None) -> StreamingQuery:
+        """``partitions``: parts of the state, fixed when the stream first starts, if not the session's number."""
         writer = counts.writeStream.outputMode("update").foreachBatch(self.process)
-        return _started(writer, self.root, available_now)
+        return _started(self.spark, writer, self.root, available_now, partitions)
 
     def table(self, dates: Iterable[str] | None = None) -> DataFrame:
         """The counts as the last finished batch left them, for all days or the given ones."""
-        return self.counts.totals(last_batch(self.spark, _checkpoint(self.root)), dates)
+        return self.counts.totals(last_batch(self.spark, self.root), dates)
 
 
 def start_trend(
@@ -115,6 +132,7 @@ def start_trend(
     root: str,
     watermark: str | None = None,
     available_now: bool = False,
+    partitions: int | None = None,
 ) -> tuple[CountStream, StreamingQuery]:
     """Clicks per minute and ad, over all users.
 
@@ -124,7 +142,7 @@ def start_trend(
     if watermark is not None:
         clicks = clicks.withWatermark("click_time", watermark)
     stream = CountStream(spark, root, "ad_click_trend")
-    return stream, stream.start(ads.minute_click_counts(clicks), available_now)
+    return stream, stream.start(ads.minute_click_counts(clicks), available_now, partitions)
 
 
 def start_running_stat(
@@ -133,6 +151,7 @@ def start_running_stat(
     root: str,
     watermark: str | None = None,
     available_now: bool = False,
+    partitions: int | None = None,
 ) -> tuple[CountStream, StreamingQuery]:
     """Clicks per day, province, city and ad, for a log without a blacklist.
 
@@ -144,6 +163,6 @@ def start_running_stat(
         counts = clicks.withWatermark("click_time", watermark).groupBy(day, "date", "province", "city", "ad_id").count()
         counts = counts.select("date", "province", "city", "ad_id", F.col("count").alias("click_count"))
         stream = CountStream(spark, root, "ad_stat")
-        return stream, stream.start(counts, available_now)
+        return stream, stream.start(counts, available_now, partitions)
     stream = CountStream(spark, root, "ad_stat")
-    return stream, stream.start(ads.city_click_counts(clicks), available_now)
+    return stream, stream.start(ads.city_click_counts(clicks), available_now, partitions)

@@ -26,13 +26,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def last_batch(spark: SparkSession, checkpoint: str) -> int:
-    """The last micro-batch the stream of this checkpoint has finished; raises LookupError before the first."""
-    files, target = located(spark, f"{checkpoint}/commits")
+def mark_finished(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Note that all tables of ``batch_id`` are written; notes other than this one and the one before go."""
+    files, target = located(spark, f"{root}/finished/{batch_id}")
+    files.create(target, True).close()
+    for found in files.listStatus(target.getParent()):
+        name = found.getPath().getName()
+        if name.isdigit() and int(name) < batch_id - 1:
+            files.delete(found.getPath(), False)
+
+
+def last_batch(spark: SparkSession, root: str) -> int:
+    """The last micro-batch whose tables are all written; raises LookupError before the first."""
+    files, target = located(spark, f"{root}/finished")
     names = [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
     finished = [int(name) for name in names if name.isdigit()]
     if not finished:
-        raise LookupError(f"no finished batch in {checkpoint}")
+        raise LookupError(f"no finished batch in {root}")
     return max(finished)
 
 

@@ -82,6 +82,22 @@ def test_batches_follow_the_model_with_and_without_folding(spark, rows, tmp_path
     assert _model(batches[:3], 3)["ad_blacklist"]
 
 
+def test_a_batch_is_finished_when_all_its_tables_are_written(spark, tmp_path, monkeypatch):
+    stream = ClickStream(spark, str(tmp_path), threshold=3)
+    for i, batch in enumerate(_random_batches(4)):
+        stream.process(_clicks(spark, batch), i)
+        assert last_batch(spark, str(tmp_path)) == i
+    assert len([p for p in (tmp_path / "finished").iterdir() if p.name.isdigit()]) == 2
+
+    def fails(*_):
+        raise OSError
+
+    monkeypatch.setattr(stream.banned, "write", fails)
+    with pytest.raises(OSError):
+        stream.process(_clicks(spark, batch), 4)
+    assert last_batch(spark, str(tmp_path)) == 3
+
+
 def test_a_batch_that_runs_again_changes_nothing(spark, rows, tmp_path):
     batches = _random_batches(5)
     stream = ClickStream(spark, str(tmp_path), threshold=3, fold_every=2)
@@ -115,7 +131,7 @@ def test_clicks_of_the_crossing_batch_count_and_later_ones_do_not(spark, rows, t
     _write(log, "3.txt", [_line(7)] * 5 + [_line(7, ad=2, day=2)] + [_line(8, day=2)] * 2, 3000)
     stream = ClickStream(spark, root, threshold=5)
     _finish(stream.start(parse_ad_log(file_lines(spark, str(log), maxFilesPerTrigger="1")), available_now=True))
-    assert last_batch(spark, f"{root}/checkpoint") == 2
+    assert last_batch(spark, root) == 2
     got = {name: rows(df) for name, df in stream.tables().items()}
     assert got["ad_blacklist"] == [(7,)]
     assert got["ad_user_click_count"] == [
@@ -201,8 +217,11 @@ def test_a_live_stream_works_at_its_interval(spark, rows, three_files, tmp_path)
 
 def test_running_stat_equals_batch(spark, rows, three_files, tmp_path):
     clicks = parse_ad_log(file_lines(spark, three_files, maxFilesPerTrigger="1"))
-    stream, query = start_running_stat(spark, clicks, str(tmp_path / "state"), available_now=True)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream, query = start_running_stat(spark, clicks, str(tmp_path / "state"), available_now=True, partitions=3)
     _finish(query)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert '"spark.sql.shuffle.partitions":"3"' in (tmp_path / "state" / "checkpoint" / "offsets" / "0").read_text()
     expected = rows(ads.city_click_counts(_all_clicks(spark, three_files)))
     assert rows(stream.table()) == expected
     files = [f for f in os.listdir(tmp_path / "state" / "ad_stat" / "batches" / "0") if f.endswith(".parquet")]
