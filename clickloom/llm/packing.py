@@ -7,7 +7,7 @@ ranks highest for the seed's ``QUERY_TERMS`` heaviest terms is added (of equal s
 window. Where no unused document shares a term, the next one by id is taken. What is left at the end of a shard is cut into sequences of
 powers of two, so that nothing is padded.
 
-Terms in more than ``STOP_SHARE`` of all documents weigh nothing and are left out of the index.
+Every term is indexed with its BM25 weight, however many documents have it. The end id that closes a document is no term.
 
 A null text is empty and has the end id only. Rows of one id are packed each for itself. Extra columns are ignored.
 """
@@ -31,7 +31,6 @@ LENGTH = 2048
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 QUERY_TERMS = 12
-STOP_SHARE = 0.1
 K1, B = 1.2, 0.75
 _TOKENISED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("term", pa.int32())])
 
@@ -50,7 +49,8 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
                 for i in range(0, len(block), 64):
                     some = offsets[i : i + 65]
                     has = np.zeros((len(some) - 1, size), bool)
-                    has[np.repeat(np.arange(len(some) - 1), np.diff(some)), ids[some[0] : some[-1]]] = True
+                    inner = np.delete(ids[some[0] : some[-1]], some[1:] - some[0] - 1)  # without the end ids
+                    has[np.repeat(np.arange(len(some) - 1), np.diff(some) - 1), inner] = True
                     seen += np.count_nonzero(has, axis=0)
                 small = ids.astype(np.uint16 if size <= 1 << 16 else np.uint32)
                 packed = [packer.compress(small[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
@@ -68,8 +68,8 @@ class Index:
 
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean_length: float) -> None:
         lengths = np.array([len(d) for d in documents])
-        tokens = np.concatenate(documents).astype(np.int64)
-        owner = np.repeat(np.arange(len(documents)), lengths)
+        tokens = np.concatenate([d[:-1] for d in documents]).astype(np.int64)
+        owner = np.repeat(np.arange(len(documents)), lengths - 1)
         heavy = idf[tokens] > 0
         cells, tf = np.unique(tokens[heavy] * len(documents) + owner[heavy], return_counts=True)
         term, self.doc = np.divmod(cells, len(documents))
@@ -170,7 +170,7 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: i
     seen = np.zeros(size)
     for term, n in counts:
         seen[term] = n
-    idf = np.where((seen > 0) & (seen <= max(1, STOP_SHARE * n_docs)), np.log1p((n_docs - seen + 0.5) / (seen + 0.5)), 0)
+    idf = np.where(seen > 0, np.log1p((n_docs - seen + 0.5) / (seen + 0.5)), 0)
     shared = spark.sparkContext.broadcast((idf, n_tokens / max(1, n_docs), size))
     shards = max(1, -(-n_tokens // shard_tokens))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids

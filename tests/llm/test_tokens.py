@@ -96,6 +96,15 @@ def test_packing_puts_documents_that_share_words_together():
     assert np.mean([a == b for a, b in mates]) > 0.7
 
 
+def test_packing_scores_terms_that_many_documents_have(spark):
+    common = [f"alpha beta gamma delta {'x' * i}" for i in range(6)]
+    other = [f"{i}{i}{i}" for i in range(6)]
+    docs = spark.createDataFrame([(i, (common, other)[i % 2][i // 2]) for i in range(12)], "doc_id bigint, text string")
+    rows = packing.packed(docs, public.path("byte_bpe_50k.json"), length=16).collect()
+    first = {p.sequence_id: p.doc_id for p in rows if p.offset == 0}
+    assert next(p.doc_id for p in sorted(rows, key=lambda p: p.offset) if p.offset and p.sequence_id == min(first)) % 2 == 0
+
+
 def test_byte_bpe_equals_the_library(spark, texts):
     docs, by_id = texts
     path = public.path("byte_bpe_50k.tiktoken")
