@@ -3,7 +3,7 @@
 Documents are tokenised once and dealt at random into shards of about ``SHARD_TOKENS`` tokens; the number of shards grows with the
 corpus. Each shard has an inverted index with BM25 weights whose document frequencies and mean length come from the whole
 corpus; tokens are the terms. A seed document opens a window of ``LENGTH`` ids. While the window has room, the unused document that BM25
-ranks highest for the seed's ``QUERY_TERMS`` heaviest terms is added (of equal scores the smaller id); the document that does not fit is cut, and its rest opens the next
+ranks highest for all terms of the seed is added (of equal scores the smaller id); the document that does not fit is cut, and its rest opens the next
 window. Where no unused document shares a term, the next one by id is taken. What is left at the end of a shard is cut into sequences of
 powers of two, so that nothing is padded.
 
@@ -30,7 +30,6 @@ from clickloom.session import scratch_path, stored
 LENGTH = 2048
 END_ID = 1
 SHARD_TOKENS = 1 << 20
-QUERY_TERMS = 12
 K1, B = 1.2, 0.75
 _TOKENISED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("term", pa.int32())])
 
@@ -77,16 +76,13 @@ class Index:
         self.weight = idf[term] * tf * (K1 + 1) / (tf + norm)
         self.first = np.searchsorted(term, np.arange(len(idf) + 1))
         by_doc = np.argsort(self.doc, kind="stable")
-        self.term_of, self.weight_of = term[by_doc], self.weight[by_doc]
+        self.term_of = term[by_doc]
         self.first_of = np.searchsorted(self.doc[by_doc], np.arange(len(documents) + 1))
         self.n = len(documents)
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document for the heaviest terms of ``seed``."""
-        mine = slice(self.first_of[seed], self.first_of[seed + 1])
-        terms = self.term_of[mine]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.weight_of[mine], QUERY_TERMS)[:QUERY_TERMS]]
+        """BM25 of every document for all terms of ``seed``."""
+        terms = self.term_of[self.first_of[seed] : self.first_of[seed + 1]]
         found = np.zeros(self.n)
         for a, b in zip(self.first[terms], self.first[terms + 1], strict=True):
             found[self.doc[a:b]] += self.weight[a:b]

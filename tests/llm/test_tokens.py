@@ -105,6 +105,20 @@ def test_packing_scores_terms_that_many_documents_have(spark):
     assert next(p.doc_id for p in sorted(rows, key=lambda p: p.offset) if p.offset and p.sequence_id == min(first)) % 2 == 0
 
 
+def test_packing_asks_with_every_term_of_the_seed():
+    rng = np.random.default_rng(4)
+    documents = [np.array([*rng.integers(0, 60, 40), 99]) for _ in range(30)]
+    seen = np.bincount(np.concatenate([np.unique(d[:-1]) for d in documents]), minlength=100)
+    idf = np.where(seen, np.log1p((30 - seen + 0.5) / (seen + 0.5)), 0)
+    index = packing.Index(documents, idf, 41.0)
+    for seed in documents:
+        want = []
+        for d in documents:
+            tf = np.bincount(d[:-1], minlength=100)[np.unique(seed[:-1])]
+            want.append((idf[np.unique(seed[:-1])] * tf * 2.2 / (tf + 1.2)).sum())
+        assert np.allclose(index.scores(next(i for i, d in enumerate(documents) if d is seed)), want)
+
+
 def test_byte_bpe_equals_the_library(spark, texts):
     docs, by_id = texts
     path = public.path("byte_bpe_50k.tiktoken")
