@@ -1,9 +1,9 @@
 """URL filter: rules on host and path, and gradient-boosted trees on lexical features where no rule fits.
 
 DataFrame functions and Spark's own boosted trees only. The trees learn from the URLs that a rule decides: those are the labelled
-ones. At most about ``MAX_LABELLED`` distinct ones are taken for training, evenly by the hash of the URL; the rest of the
-work covers every row. The suffix statistics are one row for each of ``SUFFIX_SLOTS`` hash slots, of the
-host's last label and of that with the first directory of the path.
+ones. At most about ``MAX_LABELLED`` distinct ones are taken to fit the trees, evenly by the hash of the URL; the rest of the
+work covers every row. The suffix statistics count all distinct labelled URLs: one row for each last label of a host, and
+for each of those with the first directory of the path.
 
 A null URL or one without ``://`` has an empty host and path; it is judged by the trees like an empty text. With no
 labelled URL, or labels of one kind only, that kind (else "allow") is the verdict of all other rows. Repeated rows
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from clickloom.session import scratch_path, stored
 
 MAX_LABELLED = 20_000
-SUFFIX_SLOTS = 1024
 FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_dashes", "f_suffix_rate", "f_suffix_count", "f_start_rate", "f_start_count")
+KEYS = {"suffix": ["__suffix"], "start": ["__suffix", "__start"]}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -79,14 +79,9 @@ def _entropy(text: Column) -> Column:
     return F.when(n > 0, F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), add)).otherwise(0.0)
 
 
-def _slot(*parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*parts), F.lit(SUFFIX_SLOTS).cast("bigint"))
-
-
-def _slots() -> dict[str, Column]:
-    """Where statistics are kept: by host suffix, and by host suffix and first directory of the path."""
-    suffix = F.substring_index("host", ".", -1)
-    return {"suffix": _slot(suffix), "start": _slot(suffix, F.regexp_extract("path", "^/[^/]*/", 0))}
+def _with_keys(urls: DataFrame) -> DataFrame:
+    """Add what statistics are kept by: the host's suffix and the first directory of the path."""
+    return urls.withColumn("__suffix", F.substring_index("host", ".", -1)).withColumn("__start", F.regexp_extract("path", "^/[^/]*/", 0))
 
 
 def with_features(pages: DataFrame, statistics: dict[str, DataFrame], url_col: str = "url") -> DataFrame:
@@ -103,44 +98,44 @@ def with_features(pages: DataFrame, statistics: dict[str, DataFrame], url_col: s
         "f_labels": _count_of(F.col("host"), ".") + 1.0,
         "f_dashes": _count_of(F.col("host"), "-"),
     }
-    out = pages.withColumns(plain)
-    for name, slot in _slots().items():
-        out = out.withColumn("__slot", slot).join(F.broadcast(statistics[name]), "__slot", "left").drop("__slot")
+    out = _with_keys(pages.withColumns(plain))
+    for name, keys in KEYS.items():
+        out = out.join(statistics[name], keys, "left")
         out = out.fillna(0.5, [f"f_{name}_rate"]).fillna(0.0, [f"f_{name}_count"])
-    return out
+    return out.drop("__suffix", "__start")
 
 
 def suffix_statistics(labelled: DataFrame) -> dict[str, DataFrame]:
-    """Written tables of (slot, smoothed share of blocked, log of count); at most SUFFIX_SLOTS rows each."""
+    """Written tables of (keys, smoothed share of blocked, log of count), a row for each value of the KEYS."""
     n, blocked = F.count(F.lit(1)), F.sum("label")
     tables = {}
-    for name, slot in _slots().items():
-        rows = labelled.groupBy(slot.alias("__slot")).agg(((blocked + 1) / (n + 2)).alias(f"f_{name}_rate"), F.log1p(n.cast("double")).alias(f"f_{name}_count"))
+    for name, keys in KEYS.items():
+        rows = _with_keys(labelled).groupBy(keys).agg(((blocked + 1) / (n + 2)).alias(f"f_{name}_rate"), F.log1p(n.cast("double")).alias(f"f_{name}_count"))
         tables[name] = stored(rows, scratch_path(labelled.sparkSession, f"url-{name}"))
     return tables
 
 
-def labelled_urls(judged: DataFrame, url_col: str, most: int) -> DataFrame:
-    """(url, host, path, label) of distinct URLs that a rule decides; about ``most`` at most, as a written table."""
+def labelled_urls(judged: DataFrame, url_col: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """(url, host, path, label) of all distinct URLs that a rule decides, and of about ``most`` of them at most, as written tables."""
     rows = judged.where(F.col("rule_verdict").isNotNull()).select(F.col(f"`{url_col}`").alias("url"), "host", "path", (F.col("rule_verdict") == "block").cast("double").alias("label")).distinct()
     rows = stored(rows, scratch_path(judged.sparkSession, "labelled-urls"))
     share = min(1.0, most / max(1, rows.count()))
-    return stored(rows.where(F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30))), scratch_path(judged.sparkSession, "training-urls"))
+    return rows, stored(rows.where(F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30))), scratch_path(judged.sparkSession, "training-urls"))
 
 
 def judged_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "url", most_labelled: int = MAX_LABELLED, trees: int = 12, depth: int = 3) -> DataFrame:
     """``pages`` with host, path, rule, verdict and score (how likely the trees hold it to be blocked)."""
-    pages = pages.drop("host", "path", "rule", "rule_verdict", "verdict", "score", "__slot", *FEATURES)
+    pages = pages.drop("host", "path", "rule", "rule_verdict", "verdict", "score", "__suffix", "__start", *FEATURES)
     judged = with_rule(with_host_and_path(pages, url_col), rules)
-    labelled = labelled_urls(judged, url_col, most_labelled)
-    counts = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked")).first()
+    labelled, sample = labelled_urls(judged, url_col, most_labelled)
+    counts = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked")).first()
     if not counts.n or counts.blocked in (0, counts.n):
         constant = "block" if counts.n and counts.blocked else "allow"
         out = judged.withColumn("score", F.lit(float(constant == "block")))
         return out.withColumn("verdict", F.coalesce("rule_verdict", F.lit(constant))).drop("rule_verdict")
     statistics = suffix_statistics(labelled)
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
-    training = vector.transform(with_features(labelled, statistics)).select("__features", "label").coalesce(4)
+    training = vector.transform(with_features(sample, statistics)).select("__features", "label").coalesce(4)
     model = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=trees, maxDepth=depth, seed=7).fit(training)
     model.setPredictionCol("__prediction").setRawPredictionCol("__raw").setProbabilityCol("__probability")
     scored = model.transform(vector.transform(with_features(judged, statistics, url_col)))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import os
 import zlib
 from collections import defaultdict
@@ -103,6 +104,15 @@ def test_trees_learn_from_labelled_urls(spark):
     assert np.mean([(r.score > 0.5) == (r.verdict == "block") for r in found]) > 0.9
 
 
+def test_url_statistics_count_all_labelled_urls(spark, monkeypatch):
+    urls = [f"http://a.net/d{i}/p" for i in range(3000)] + [f"http://a.org/fr/{i}" for i in range(3000)]
+    seen, add = [], url_filter.with_features
+    monkeypatch.setattr(url_filter, "with_features", lambda pages, statistics, *rest: seen.append(statistics) or add(pages, statistics, *rest))
+    url_filter.judged_urls(spark.createDataFrame([(u,) for u in urls], "url string"), most_labelled=300, trees=1, depth=1)
+    counts = {name: sorted(round(math.expm1(r[f"f_{name}_count"])) for r in table.collect()) for name, table in seen[0].items()}
+    assert counts == {"suffix": [3000, 3000], "start": [1] * 3000 + [3000]}
+
+
 def test_url_filter_runs_no_python(spark):
     plan = queries.op6_url_filter(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
