@@ -1,7 +1,9 @@
 """Packing by lexical retrieval: documents that share words share training sequences.
 
-Documents are tokenised once and dealt at random into shards of about ``SHARD_TOKENS`` tokens; the number of shards grows with the
-corpus. Each shard has an inverted index with BM25 weights whose document frequencies and mean length come from the whole
+Documents are tokenised once and placed into shards of about ``SHARD_TOKENS`` tokens, related ones together; the number of shards grows
+with the corpus. A binary tree of as many leaves as shards splits the documents by a random projection of their BM25 weights, each node at
+the median of the main direction; at most ``LEAF_SAMPLE`` documents a leaf, taken evenly, fix the tree, and every document goes
+down it. A leaf that holds several shards' worth, as of copies, is dealt at random. Neighbours in other shards are not looked up. Each shard has an inverted index with BM25 weights whose document frequencies and mean length come from the whole
 corpus; tokens are the terms. A seed document opens a window of ``LENGTH`` ids. While the window has room, the unused document that BM25
 ranks highest for all terms of the seed is added (of equal scores the smaller id); the document that does not fit is cut, and its rest opens the next
 window. Where no unused document shares a term, the next one by id is taken. What is left at the end of a shard is cut into sequences of
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ from clickloom.session import scratch_path, stored
 LENGTH = 2048
 END_ID = 1
 SHARD_TOKENS = 1 << 20
+LEAF_SAMPLE, MOST_LEAVES = 16, 1 << 14
+SKETCH = 64
 K1, B = 1.2, 0.75
 _TOKENISED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("term", pa.int32())])
 
@@ -155,6 +160,90 @@ def powers_of_two(pieces: list[tuple[int, int, int, int, int]], filled: int, seq
     return out
 
 
+class Sketches:
+    """Random projections of the BM25 weights of documents, of length 1; alike in all tasks."""
+
+    def __init__(self, idf: np.ndarray, mean_length: float) -> None:
+        self.idf, self.mean = idf, mean_length
+        self.signs = np.random.default_rng(11).integers(0, 2, (len(idf), SKETCH), np.int8).astype(np.float32) * 2 - 1
+
+    def __call__(self, documents: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(documents), SKETCH), np.float32)
+        for i, ids in enumerate(documents):
+            term, tf = np.unique(ids[:-1], return_counts=True)
+            weight = self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / self.mean))
+            out[i] = weight.astype(np.float32) @ self.signs[term]
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def split_tree(sketches: np.ndarray, tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and cuts of a complete binary tree (node k has the children 2k + 1 and 2k + 2), halving the tokens at each node."""
+    directions = np.zeros(((1 << depth) - 1, SKETCH), np.float32)
+    cuts = np.full(len(directions), np.inf, np.float32)
+    members = {0: np.arange(len(sketches))}
+    for node in range(len(directions)):
+        mine = members.pop(node, np.zeros(0, np.int64))
+        if len(mine) < 2:
+            continue
+        centred = sketches[mine] - sketches[mine].mean(axis=0)
+        direction = np.linalg.eigh(centred.T @ centred)[1][:, -1].astype(np.float32)
+        along = (sketches[mine] * direction).sum(axis=1)
+        order = np.argsort(along, kind="stable")
+        total = np.cumsum(tokens[mine][order])
+        directions[node], cuts[node] = direction, along[order[np.searchsorted(total, total[-1] / 2)]]
+        right = along > cuts[node]
+        members[2 * node + 1], members[2 * node + 2] = mine[~right], mine[right]
+    return directions, cuts
+
+
+def leaves(sketches: np.ndarray, directions: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The leaf of each sketch; equal sketches have equal leaves."""
+    node = np.zeros(len(sketches), np.int64)
+    for _ in range((len(cuts) + 1).bit_length() - 1):
+        node = 2 * node + 1 + ((sketches * directions[node]).sum(axis=1) > cuts[node])
+    return node - len(cuts)
+
+
+def _ids(ids: pa.ChunkedArray | pa.Array, lengths: np.ndarray) -> list[np.ndarray]:
+    unpacker = zstandard.ZstdDecompressor()
+    raw = [unpacker.decompress(x.as_py()) for x in ids]
+    return [np.frombuffer(x, np.uint16 if len(x) == 2 * n else np.uint32) for x, n in zip(raw, lengths, strict=True)]
+
+
+def placed(documents: DataFrame, shared: Broadcast, shards: int, shard_tokens: int) -> DataFrame:
+    """``documents`` with the shard of each one."""
+    if shards == 1:
+        return documents.select(F.lit(0).cast("bigint").alias("shard"), "doc_id", "n", "ids", "lot")
+    spark = documents.sparkSession
+    depth = (min(shards, MOST_LEAVES) - 1).bit_length()
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches = Sketches(*shared.value[:2])
+        for batch in batches:
+            found = sketches(_ids(batch["ids"], batch["n"].to_numpy()))
+            yield pa.RecordBatch.from_arrays([batch["lot"], batch["n"], pa.array([x.tobytes() for x in found], pa.binary())], ["lot", "n", "sketch"])
+
+    share = min(1.0, LEAF_SAMPLE * (1 << depth) / max(1, documents.count()))
+    some = documents.where(F.pmod("lot", F.lit(1 << 20)) < max(1, int(share * (1 << 20)))).select("n", "ids", "lot").mapInArrow(sketch, "lot bigint, n bigint, sketch binary")
+    sample = sorted(some.collect())  # LEAF_SAMPLE a leaf
+    vectors = np.array([np.frombuffer(r.sketch, np.float32) for r in sample], np.float32).reshape(-1, SKETCH)
+    tree = spark.sparkContext.broadcast(split_tree(vectors, np.array([r.n for r in sample]), depth))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches = Sketches(*shared.value[:2])
+        for batch in batches:
+            leaf = leaves(sketches(_ids(batch["ids"], batch["n"].to_numpy())), *tree.value)
+            yield pa.RecordBatch.from_arrays([pa.array(leaf), batch["doc_id"], batch["n"], batch["ids"], batch["lot"]], ["leaf", "doc_id", "n", "ids", "lot"])
+
+    rows = documents.select("doc_id", "n", "ids", "lot").mapInArrow(place, "leaf bigint, doc_id bigint, n bigint, ids binary, lot bigint")
+    tokens = dict(rows.groupBy("leaf").agg(F.sum("n")).collect())  # MOST_LEAVES rows at most
+    parts = [max(1, round(tokens.get(leaf, 0) / shard_tokens)) for leaf in range(1 << depth)]
+    first = np.cumsum([0, *parts])[:-1].tolist()
+    known = spark.createDataFrame(list(zip(range(1 << depth), first, parts, strict=True)), "leaf bigint, first bigint, parts bigint")
+    shard = F.col("first") + F.pmod(F.col("lot"), F.col("parts"))
+    return rows.join(F.broadcast(known), "leaf").select(shard.alias("shard"), "doc_id", "n", "ids", "lot")
+
+
 def packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: int = LENGTH, shard_tokens: int = SHARD_TOKENS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """The pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if wanted, their ids (32-bit, little-endian)."""
     spark = docs.sparkSession
@@ -174,10 +263,8 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: i
     def pack(key: tuple, group: pa.Table) -> pa.Table:
         idf, mean, _ = shared.value
         group = group.sort_by([("doc_id", "ascending"), ("lot", "ascending")])
-        unpacker = zstandard.ZstdDecompressor()
         lengths = group["n"].to_numpy()
-        raw = [unpacker.decompress(x.as_py()) for x in group["ids"]]
-        wide = [np.frombuffer(x, np.uint16 if len(x) == 2 * n else np.uint32) for x, n in zip(raw, lengths, strict=True)]
+        wide = _ids(group["ids"], lengths)
         pieces = packed_shard(wide, idf, mean, length)
         doc = np.array([p[0] for p in pieces])
         texts = [wide[d][s : s + n].astype("<u4").tobytes() for d, s, n, _, _ in pieces]
@@ -194,5 +281,4 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: i
         return pa.Table.from_arrays(columns + [pa.array(texts, pa.binary())] * with_ids, names)
 
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids binary" * with_ids
-    dealt = documents.select(F.pmod("lot", F.lit(shards)).alias("shard"), "doc_id", "n", "ids", "lot")
-    return dealt.groupBy("shard").applyInArrow(pack, schema)
+    return placed(documents, shared, shards, shard_tokens).groupBy("shard").applyInArrow(pack, schema)

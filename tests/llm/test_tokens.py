@@ -119,6 +119,19 @@ def test_packing_asks_with_every_term_of_the_seed():
         assert np.allclose(index.scores(next(i for i, d in enumerate(documents) if d is seed)), want)
 
 
+def test_packing_places_related_documents_in_one_shard(spark):
+    rng = random.Random(3)
+    topics = [[f"w{t}x{rng.randint(0, 10**6)}" for _ in range(12)] for t in range(16)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(topics[i % 16], k=12))) for i in range(640)], "doc_id bigint, text string")
+    rows = packing.packed(docs, public.path("byte_bpe_50k.json"), length=256, shard_tokens=4000).collect()
+    assert len({p.sequence_id >> 32 for p in rows}) > 8
+    mates = {}
+    for p in rows:
+        mates.setdefault(p.sequence_id, set()).add(p.doc_id)
+    pairs = [(a, b) for own in mates.values() for a in own for b in own if a < b]
+    assert np.mean([a % 16 == b % 16 for a, b in pairs]) > 0.7
+
+
 def test_byte_bpe_equals_the_library(spark, texts):
     docs, by_id = texts
     path = public.path("byte_bpe_50k.tiktoken")
