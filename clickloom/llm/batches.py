@@ -1,7 +1,7 @@
 """Text columns as byte arrays: words, hashes and ragged lists without a Python object for each word.
 
 The Python tasks of this package get Arrow batches. ``byte_blocks`` cuts them into blocks of about a
-megabyte (a longer text is a block of its own), so that what a task holds depends on the longest text and
+megabyte and of ``BLOCK_ROWS`` rows at most (a longer text is a block of its own), so that what a task holds depends on the longest text and
 not on how many rows a batch has.
 """
 
@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 2048
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _U64 = np.uint64
@@ -60,7 +61,7 @@ def byte_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Bl
     data, offsets = column_bytes(column)
     first, n = 0, len(offsets) - 1
     while first < n:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + block_bytes, "right")) - 1)
+        last = max(first + 1, min(first + BLOCK_ROWS, int(np.searchsorted(offsets, offsets[first] + block_bytes, "right")) - 1))
         yield Block(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], slice(first, last))
         first = last
 

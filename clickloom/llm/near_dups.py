@@ -52,26 +52,26 @@ _STEPS = mixed(np.arange(1, WORDS + 1, dtype=np.uint64)) | _U64(1)
 _FACTORS = mixed(np.arange(1000, 1000 + HASHES, dtype=np.uint64)) | _U64(1)
 
 
-def shingle_hashes(block: Block) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(block: Block, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """The shingles of a block's texts one after the other, repeats included, and where each text's start."""
     data = lower_ascii(block.data)
     starts, ends = runs(~ASCII_SPACE[data], block.offsets)
     words = span_hashes(data, starts, ends)
     first = np.searchsorted(starts, block.offsets)
     counts = np.diff(first)
-    shingles = np.where(counts >= WORDS, counts - WORDS + 1, np.minimum(counts, 1))
+    shingles = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     at = ragged(first[:-1], shingles)
-    length = np.repeat(np.minimum(counts, WORDS), shingles)
+    length = np.repeat(np.minimum(counts, size), shingles)
     total = mixed(length.astype(np.uint64))
-    for j in range(WORDS):
+    for j in range(size):
         more = length > j
         total[more] += words[at[more] + j] * _STEPS[j]
     return mixed(total), list_offsets(shingles)
 
 
-def shingle_sets(block: Block) -> Iterator[np.ndarray]:
+def shingle_sets(block: Block, size: int = WORDS) -> Iterator[np.ndarray]:
     """The sorted set of each text."""
-    hashes, offsets = shingle_hashes(block)
+    hashes, offsets = shingle_hashes(block, size)
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
         own = np.sort(hashes[a:b])
         yield own[np.append(True, own[1:] != own[:-1])] if b > a else own

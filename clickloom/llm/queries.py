@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, bpe, chat, exact_dups, langid, near_dups, packing, quality, token_files, url_filter
+from clickloom.llm import alignment, ann, bpe, chat, exact_dups, jaccard_join, langid, near_dups, packing, quality, token_files, url_filter, whitening
 from clickloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,19 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.mark_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
