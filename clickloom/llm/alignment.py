@@ -4,9 +4,9 @@ A is a byte-level BPE of the tokenizers library and encodes a space and the text
 space itself. So both cover the same bytes. All tokens of A and B are sorted by start (lexsort), the ends get a running maximum, and a group
 breaks where a start reaches it: there tokens of both end. Within a group every token of A is linked with every one of B.
 
-Neither tokenizer has a token that reaches over a space which follows another character (``Aligner`` checks that of B's pieces), so a text falls into chunks
-that begin with a space and are encoded and aligned on their own, each different chunk once in a worker. What a worker
-remembers is bounded by chunks, pairs and bytes.
+Texts are cut into chunks where both tokenizers surely have a boundary: A splits texts by a pattern before it merges, and B only merges what is one of its pieces, which
+``Aligner`` looks through. Chunks are encoded and aligned on their own, each different one once in a worker. What a worker remembers is bounded by
+chunks, pairs and bytes.
 
 Two passes over the texts. The first counts for each linked pair of ids the documents that hold it, combined in the task. Spark adds the counts and finds the
 highest of each A id. The second sums the counts over the links of each document. The table of counts goes to the tasks in slices of about
@@ -20,21 +20,22 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.batches import Block, byte_blocks, list_offsets, ragged, span_hashes
+from clickloom.llm.batches import Block, byte_blocks, different, list_offsets, ragged, span_hashes
 from clickloom.llm.chunks import library_encoder
 from clickloom.session import scratch_path, stored
 
 MOST_PAIRS = 1 << 22
-MOST_CHUNKS = 400_000
+MOST_CHUNKS = 600_000
 MOST_CACHED = 8_000_000
 FLUSH = 2_000_000
-SPACE = 32
+SPACE, LINE_END = 32, 10
 #: U+2581, which stands for a space in pieces
 MARK = "▁"
 
@@ -90,24 +91,26 @@ def spaced(block: Block) -> Block:
     return Block(data, more, block.rows)
 
 
-def chunk_starts(block: Block) -> np.ndarray:
-    """Before each space that follows an ASCII character or one of two bytes beyond U+00BF, none of them white space, unless the text goes on with spaces only."""
+_SOLID = np.zeros(256, bool)
+_SOLID[33:127] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+
+
+def chunk_starts(block: Block, signs: np.ndarray) -> np.ndarray:
+    """Where chunks of a block with spaces begin: each text; a space or single line end after a character that surely is no white space (ASCII, or of two
+    bytes beyond U+00BF); what follows that line end; a sign after an ASCII letter."""
     data, n = block.data, len(block.data)
-    if not n:
-        return np.zeros(0, np.int64)
-    space = data == SPACE
-    solid = (data > SPACE) & (data < 127)
-    two = np.zeros(n, bool)
-    two[1:] = (data[1:] >= 128) & (data[1:] < 192) & (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
-    cut = np.zeros(n, bool)
-    cut[1:] = space[1:] & (solid | two)[:-1]
-    # the last byte of each text that is no space, and whether a byte comes after it
-    last = np.maximum.accumulate(np.where(space, -1, np.arange(n)))
-    full = np.diff(block.offsets) > 0
-    firsts, finals = block.offsets[:-1][full], last[block.offsets[1:][full] - 1]
-    cut &= np.arange(n) <= np.repeat(finals, np.diff(block.offsets)[full])
-    cut[firsts] = True
-    return np.flatnonzero(cut)
+    cut = np.zeros(n + 1, bool)
+    if n:
+        shown = _SOLID[data]
+        shown[1:] |= (data[1:] >= 128) & (data[1:] < 192) & (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
+        cut[1:n] = shown[:-1] & ((data[1:] == SPACE) | (signs[data[1:]] & _LETTER[data[:-1]]))
+        ahead = _SOLID[data] | ((data >= 0xC3) & (data <= 0xDF))
+        alone = np.flatnonzero(shown[:-2] & (data[1:-1] == LINE_END) & ahead[2:]) + 1
+        cut[alone] = cut[alone + 1] = True
+        cut[block.offsets[:-1][np.diff(block.offsets) > 0]] = True
+    return np.flatnonzero(cut[:n])
 
 
 class _Grown:
@@ -134,11 +137,18 @@ class Aligner:
         self.encode_a = library_encoder(path_a)[0]
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
-        if any(MARK in name.lstrip(MARK) for name in names):
-            raise ValueError("a piece reaches over a space, so texts cannot be cut into chunks")
+        texts = [name for i, name in enumerate(names) if not self.pieces.is_byte(i)]
+        if any(MARK in name.lstrip(MARK) or "\n" in name for name in texts):
+            raise ValueError("a piece reaches over a space or line end, so texts cannot be cut into chunks")
+        self.signs = _SOLID & ~_LETTER
+        self.signs[48:58] = False
+        self.signs[[ord(y) for name in texts for x, y in pairwise(name) if x.isascii() and x.isalpha() and y.isascii()]] = False
+        #: what the library puts before a text that begins with a line end
+        self.lead = len(self.pieces.encode("\n"))
         self.size_b = len(names)
         self.bytes_a = library_entries(path_a)
         self.bytes_b = Entries([bytes([int(name[3:5], 16)]) if self.pieces.is_byte(i) else name.replace(MARK, " ").encode() for i, name in enumerate(names)])
+        self.with_text = True
         self._forget()
 
     def _forget(self) -> None:
@@ -151,7 +161,8 @@ class Aligner:
         self.table: object = None
 
     def _encode_b(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.pieces.encode(texts, num_threads=1)
+        """After a line end, which no piece reaches over, a chunk is encoded as in its text."""
+        found = [ids[self.lead :] for ids in self.pieces.encode(["\n" + t for t in texts], num_threads=1)]
         return np.array([i for ids in found for i in ids], np.int64), np.array([len(ids) for ids in found], np.int64)
 
     def _learn(self, block: Block, hashes: list[int], starts: np.ndarray, ends: np.ndarray) -> None:
@@ -160,7 +171,7 @@ class Aligner:
         n = len(texts)
         ids_a, n_a = self.encode_a(texts)
         ids_a = ids_a.astype(np.int64)
-        ids_b, n_b = self._encode_b([t[1:] for t in texts])
+        ids_b, n_b = self._encode_b(texts)
         owner_a, owner_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
         lengths = ends - starts
         whole = np.ones(n, bool)
@@ -184,7 +195,7 @@ class Aligner:
         partners = in_b[group_a]
         pair = np.repeat(ids_a, partners) * self.size_b + ids_b[ragged((np.cumsum(in_b) - in_b)[group_a], partners)]
         held, times = np.unique(np.repeat(owner_a, partners) * (1 << 40) + pair, return_counts=True)
-        text = self._text(ids_a, ids_b, in_a, in_b, owner, n)
+        text = self._text(ids_a, ids_b, in_a, in_b, owner, n) if self.with_text else []
 
         self.known.update(zip(hashes, range(len(self.known), len(self.known) + n), strict=True))
         self.whole.add(whole)
@@ -209,7 +220,7 @@ class Aligner:
 
     def chunks(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """The known chunk at each place of a block with spaces, and the text it is in."""
-        starts = chunk_starts(block)
+        starts = chunk_starts(block, self.signs)
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(block.data))
@@ -250,10 +261,15 @@ class Aligner:
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
-def worker_aligner(path_a: str, path_b: str) -> Aligner:
+def worker_aligner(path_a: str, path_b: str, with_text: bool) -> Aligner:
+    """This Python worker's aligner; the groups of a chunk are written out only if asked for."""
     if (path_a, path_b) not in _ALIGNERS:
         _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
+    aligner = _ALIGNERS[path_a, path_b]
+    if aligner.with_text != with_text:
+        aligner.with_text = with_text
+        aligner._forget()
+    return aligner
 
 
 def unbroken(aligner: Aligner, place: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -268,7 +284,7 @@ def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """(pair, a, n, best): how many documents hold the ids a and b linked, pair = a * (ids of B) + b, and whether no other pair of a has more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = worker_aligner(path_a, path_b)
+        aligner = worker_aligner(path_a, path_b, False)
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
         def combined() -> tuple[np.ndarray, np.ndarray]:
@@ -282,10 +298,10 @@ def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for block in byte_blocks(batch.column("text")):
                 place, owner = aligner.chunks(spaced(block))
                 has = unbroken(aligner, place, owner, len(block))[owner]
-                each = np.unique(owner[has] * len(aligner.known) + place[has])
+                each = different(owner[has] * len(aligner.known) + place[has])
                 owner, place = np.divmod(each, max(1, len(aligner.known)))
                 which, pair, _ = aligner.pairs_of(place)
-                held = np.unique(owner[which] * (1 << 40) + pair) & ((1 << 40) - 1)
+                held = different(owner[which] * (1 << 40) + pair) & ((1 << 40) - 1)
                 waiting.append(np.unique(held, return_counts=True))
                 if sum(len(w[0]) for w in waiting) > FLUSH:
                     waiting = [combined()]
@@ -316,13 +332,13 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
         shared = spark.sparkContext.broadcast(tuple(x[order] for x in table))
 
         def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            aligner = worker_aligner(path_a, path_b)
+            aligner = worker_aligner(path_a, path_b, True)
             for batch in batches:
                 for block in byte_blocks(batch.column("text")):
                     own = batch.slice(block.rows.start, len(block))
                     place, owner = aligner.chunks(spaced(block))
                     has = unbroken(aligner, place, owner, len(block))
-                    sums = aligner.sums(np.unique(place), shared.value)
+                    sums = aligner.sums(different(place), shared.value)
                     place, owner = place[has[owner]], owner[has[owner]]
                     numbers = [np.bincount(owner, x[place], len(block)).astype(np.int64) for x in (*aligner.counts.data.T, sums[:, 1], sums[:, 0])]
                     bounds, parts = np.searchsorted(owner, np.arange(len(block) + 1)).tolist(), [aligner.text[i] for i in place.tolist()]

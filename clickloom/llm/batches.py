@@ -120,6 +120,12 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
+def different(x: np.ndarray) -> np.ndarray:
+    """The different values in order."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions starts[0], starts[0]+1, ... of each list, one list after the other."""
     total = int(lengths.sum())
