@@ -14,9 +14,22 @@ USER_ATTRIBUTES = ("age", "professional", "city", "sex")
 DETAIL_COLUMNS = tuple(f.name for f in schema_of("session_detail") if f.name not in ("task_id", "source"))
 
 
+_SPAN, _HALF = 1 << 64, 1 << 63
+
+
+def _first_user() -> Column:
+    """The user of the earliest action that has one, the smallest if several share that time.
+
+    Time and user form one number of fixed size, so the aggregation stays hash-based and a rerun finds the same user.
+    """
+    number = lambda x: F.lit(str(x)).cast("decimal(38,0)")
+    key = F.unix_micros("action_time").cast("decimal(38,0)") * number(_SPAN) + (F.col("user_id").cast("decimal(38,0)") + number(_HALF))
+    return (F.pmod(F.min(key.cast("decimal(38,0)")), number(_SPAN)) - number(_HALF)).cast("bigint")
+
+
 def _facts() -> list[Column]:
     return [
-        F.min_by("user_id", "action_time").alias("user_id"),
+        _first_user().alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),

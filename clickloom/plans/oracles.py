@@ -6,13 +6,16 @@ from clickloom.operators.sessions import DETAIL_COLUMNS
 from clickloom.plans.registry import (
     EXTRACT_SEED,
     EXTRACT_TOTAL,
+    LATE_SLICE_DAYS,
     OVERLAP_DAY,
     PAGE_FLOW,
     PICKY,
     SOME_DAYS,
     SPLIT_DAY,
     STREAM_SLICES,
+    WATERMARK,
 )
+from clickloom.operators.sliding import SLIDE_SECONDS, WINDOW_SECONDS
 from clickloom.schemas import STEP_BUCKETS, VISIT_BUCKETS
 from clickloom.sources.fixtures import AD_THRESHOLD, FIRST_DAY, LAST_DAY
 
@@ -209,6 +212,33 @@ _DAY = f"strftime(date, {_DATE}) as date"
 _TREND = f"""select strftime(click_time, {_DATE}) as date, strftime(click_time, '%H') as hour,
   strftime(click_time, '%M') as minute, ad_id, count(*) as click_count"""
 
+# Clicks of a window of time up to each moment at which a pane of clicks comes in or goes out.
+_SLIDING = f"""{_CLICKS},
+panes as (
+  select ad_id, epoch_ms(click_time) // 1000 // {SLIDE_SECONDS} * {SLIDE_SECONDS} as pane, count(*) as n
+  from clicks group by all),
+points as (
+  select ad_id, pane + {SLIDE_SECONDS} as moment, n, n as change from panes union all
+  select ad_id, pane + {SLIDE_SECONDS + WINDOW_SECONDS}, 0, -n from panes),
+moments as (select ad_id, moment, sum(n) as n, sum(change) as change from points group by all),
+sliding as (
+  select ad_id, moment, change, sum(n) over (partition by ad_id order by moment
+    range between {WINDOW_SECONDS - SLIDE_SECONDS} preceding and current row) as click_count from moments)
+select ad_id, strftime(make_timestamp(moment * 1000000), {_TIME}) as window_end, cast(click_count as bigint) as click_count
+from sliding where change <> 0"""
+
+# What arrives when, and the watermark that the earlier arrivals have set.
+_LATE = f"""{_CLICKS},
+arrived as (
+  select click_time, date,
+    date_diff('day', date '2024-01-01', date) // {LATE_SLICE_DAYS} + if(user_id % 5 = 0, 1, 0) as slice from clicks),
+marks as (
+  select slice, max(max(click_time)) over (order by slice rows between unbounded preceding and 1 preceding)
+    - interval '{WATERMARK}' as mark from arrived group by slice),
+judged as (
+  select date, mark is null or date_trunc('minute', click_time) + interval 1 minute > mark as in_time
+  from arrived join marks using (slice))"""
+
 _OLD_NEW = f"""{_CLICKS},
 old as (
   select date, province, city, ad_id, count(*) as click_count from clicks where date < '{SPLIT_DAY}' group by all),
@@ -312,6 +342,29 @@ select {_DAY}, province, ad_id, click_count from ({_TOP_ADS.format('allowed')})"
         "ad_trend_last_hour": f"""with {_CLICKS} {_TREND} from clicks
 where date_trunc('minute', click_time) >=
   (select date_trunc('minute', max(click_time)) - interval 59 minutes from clicks)
+group by all""",
+        "ad_click_sliding": f"with {_SLIDING}",
+        "ad_stream_sliding": f"with {_SLIDING}",
+        "ad_stream_late": f"""with {_LATE}
+select {_DAY}, count(*) as arrived, count(*) filter (in_time) as counted, count(*) filter (not in_time) as late
+from judged group by date""",
+        "ad_log_quality": f"""with {_CLICKS},
+kinds as (select (user_id + epoch_ms(click_time)) % 17 as kind from clicks)
+select reason, count(*) filter (list_contains(kinds, kind)) as lines
+from kinds, (values ('all', range(17)), ('empty', [4, 5]), ('short', [0]), ('time', [1]), ('user', [2]), ('ad', [3])) r(reason, kinds)
+group by reason""",
+        "ad_time_keys": f"""with {_CLICKS}
+select strftime(click_time, '%Y%m%d') as date_key, strftime(click_time, '%Y%m%d%H%M') as minute_key, {_DAY},
+  true as same, count(*) as click_count from clicks group by all""",
+        "ad_upsert_stored": f"""with {_OLD_NEW},
+again as (select * from old where date >= '{OVERLAP_DAY}')
+select {_DAY}, province, city, ad_id, click_count from again
+union all
+select {_DAY}, province, city, ad_id, cast(sum(click_count) as bigint) as click_count
+from (select * from old union all select * from new) b
+where not exists (
+  select 1 from again where again.date = b.date and again.province = b.province
+    and again.city = b.city and again.ad_id = b.ad_id)
 group by all""",
         "ad_upsert_replace": f"""with {_OLD_NEW}
 select {_DAY}, province, city, ad_id, click_count from (

@@ -6,21 +6,23 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.values import as_text
-from clickloom.operators import ads, categories, pages, sampling, sessions, stats, upsert
+from clickloom.functions import times
+from clickloom.operators import ads, categories, pages, sampling, sessions, sliding, stats, upsert
 from clickloom.params import TaskParams
 from clickloom.plans.daily_ads import DailyAds, daily_ads
 from clickloom.plans.session_task import SessionTables, extracted_sessions, run_session_task
 from clickloom.schemas import schema_of
 from clickloom.session import scratch_path, stored
+from clickloom.sinks.dated import DatedTable
 from clickloom.sinks.tables import ParquetTables
-from clickloom.sources.adlog import file_lines, parse_ad_log
+from clickloom.sources.adlog import file_lines, log_quality, parse_ad_log
 from clickloom.sources.fixtures import AD_THRESHOLD, FIRST_DAY, LAST_DAY, Fixtures
 from clickloom.sources.tables import scan_actions
-from clickloom.streaming.ads import ClickStream, start_running_stat, start_trend
+from clickloom.streaming.ads import ArrivalStream, ClickStream, late_clicks, start_running_stat, start_sliding, start_trend
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +43,7 @@ PAGE_FLOW = (1, 2, 3, 4)
 EXTRACT_TOTAL, EXTRACT_SEED = 3000, 7
 SPLIT_DAY, OVERLAP_DAY = "2024-01-16", "2024-01-11"
 STREAM_SLICES = 4
+LATE_SLICE_DAYS, WATERMARK = 8, "3 days"
 TASK_ID, TASK_PARAM = 1, f'{{"startDate":["{FIRST_DAY}"],"endDate":["{LAST_DAY}"],"startAge":["5"],"endAge":["55"]}}'
 
 _QUERIES: dict[str, Query] = {}
@@ -276,6 +279,33 @@ def ad_trend_last_hour(fx: Fixtures) -> DataFrame:
     return ads.last_hour(ads.minute_click_counts(clicks), now)
 
 
+@_query
+def ad_click_sliding(fx: Fixtures) -> DataFrame:
+    """Clicks of each ad in the last hour, at every tenth second where they change."""
+    return _sliding_text(sliding.sliding_click_counts(sliding.pane_click_counts(_clicks(fx))))
+
+
+def _sliding_text(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("window_end", times.format_time(F.col("window_end")))
+
+
+@_query
+def ad_log_quality(fx: Fixtures) -> DataFrame:
+    """How many lines of a log with defects there are and why lines are dropped, observed while the log is parsed and stored."""
+    observation = Observation("ad_log_quality")
+    _stored(parse_ad_log(fx.defective_ad_lines(), metrics=observation), "clicks")
+    return log_quality(fx.spark, observation)
+
+
+@_query
+def ad_time_keys(fx: Fixtures) -> DataFrame:
+    """Clicks by date and minute key, with the days that the keys read back to."""
+    keys = _clicks(fx).select(times.date_key(F.col("click_time")).alias("date_key"), times.minute_key(F.col("click_time")).alias("minute_key"), "date")
+    counts = keys.groupBy("date_key", "minute_key", "date").agg(F.count(F.lit(1)).alias("click_count"))
+    read = times.parse_date_key(F.substring("minute_key", 1, 8))
+    return counts.select("date_key", "minute_key", times.format_date(read).alias("date"), (read == F.col("date")).alias("same"), "click_count")
+
+
 # Upserts: city counts up to one day meet city counts from an earlier day on.
 
 _AD_STAT_KEYS = ("date", "province", "city", "ad_id")
@@ -298,6 +328,18 @@ def ad_upsert_accumulate(fx: Fixtures) -> DataFrame:
     return upsert.upsert_accumulate(*_old_and_new(fx), _AD_STAT_KEYS)
 
 
+@_query
+def ad_upsert_stored(fx: Fixtures) -> DataFrame:
+    """A stored table that takes in counts to add, the same batch again, and counts that replace."""
+    table = DatedTable(fx.spark, scratch_path(fx.spark, "dated"), "ad_stat")
+    old, new = _old_and_new(fx)
+    table.accumulate(old, 0)
+    for _ in range(2):
+        table.accumulate(new, 1)
+    table.replace(old.where(F.col("date") >= F.lit(OVERLAP_DAY).cast("date")), 2)
+    return table.read()
+
+
 # Streams. The log arrives in four slices by hour of the day, one micro-batch each, so that every day's
 # counts build up over several batches.
 
@@ -362,3 +404,38 @@ def ad_stream_running_stat(fx: Fixtures) -> DataFrame:
 
     _in_slices(fx, root, run)
     return streams[-1].table()
+
+
+@_query
+def ad_stream_sliding(fx: Fixtures) -> DataFrame:
+    root = scratch_path(fx.spark, "ad-sliding")
+    streams = []
+
+    def run(clicks: DataFrame) -> None:
+        stream, query = start_sliding(fx.spark, clicks, root, available_now=True)
+        query.awaitTermination()
+        streams.append(stream)
+
+    _in_slices(fx, root, run)
+    return _sliding_text(sliding.sliding_click_counts(streams[-1].table()))
+
+
+@_query
+def ad_stream_late(fx: Fixtures) -> DataFrame:
+    """The log by spans of days, each span with a part of the clicks of the one before: what a trend with a watermark counts of each day, and what comes too late."""
+    root = scratch_path(fx.spark, "ad-late")
+    day = F.datediff("ts", F.lit("2024-01-01"))
+    # every fifth user's clicks arrive a span late
+    late = F.when(F.split("line", " ")[3].cast("bigint") % 5 == 0, 1).otherwise(0)
+    lines = fx.ad_lines().withColumn("slice", F.floor(day / LATE_SLICE_DAYS).cast("int") + late)
+    lines = _stored(lines, "late-lines")
+    found = []
+    for (i,) in sorted(lines.select("slice").distinct().collect()):
+        lines.where(F.col("slice") == i).select("line").write.text(f"{root}/log/part{i}")
+        clicks = parse_ad_log(file_lines(fx.spark, f"{root}/log/*"))
+        trend, query = start_trend(fx.spark, clicks, f"{root}/trend", watermark=WATERMARK, available_now=True)
+        query.awaitTermination()
+        arrivals = ArrivalStream(fx.spark, f"{root}/arrivals")
+        arrivals.start(clicks, available_now=True).awaitTermination()
+        found = [arrivals.table(), trend.table()]
+    return late_clicks(*found)

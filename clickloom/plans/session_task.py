@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.operators import categories, sampling, sessions, stats
+from clickloom.operators import categories, pages, sampling, sessions, stats
 from clickloom.params import DEFAULT_EXTRACT_TOTAL, TaskParams
 from clickloom.session import scratch_folder, stored
 from clickloom.sinks.tables import TaskTables
@@ -38,10 +38,10 @@ def run_session_task(
     extract_total: int = DEFAULT_EXTRACT_TOTAL,
     seed: int = 0,
 ) -> TaskParams:
-    """Run task ``task_id`` and write its results.
+    """Run task ``task_id`` and write its results; with a page flow among its parameters, the conversion of the wanted sessions along it, too.
 
     The log is scanned three times, each time for other columns: for the session facts, for the
-    category counts, and for the detail rows of the few sessions that were picked.
+    category counts, and for the detail rows of the few sessions that were picked. A page flow takes one more scan.
     """
     params = find_task(tables.tasks, task_id)
     actions = scan_actions(tables.action_log, params)
@@ -70,6 +70,10 @@ def _write_results(
     busiest = stored(categories.top_sessions(pairs, hottest), f"{scratch}/busiest")
     results.write_task_rows(busiest, "top10_session", task_id)
 
+    if params.page_flow:
+        views = actions.select("session_id", "page_id", "action_time").join(wanted.select("session_id"), "session_id")
+        results.write_task_rows(pages.page_conversion(views, params.page_flow), "page_conversion", task_id)
+
     extracted = extracted_sessions(wanted, extract_total, seed, scratch)
     picked = extracted.select("session_id", F.lit("extract").alias("source")).unionByName(
         busiest.select("session_id", F.lit("top10").alias("source")).distinct()

@@ -81,12 +81,23 @@ _TABLES: dict[str, dict[str, DataType]] = {
         "order_count": _LONG,
         "pay_count": _LONG,
     },
+    "page_conversion": {
+        "task_id": _LONG,
+        "step": _INT,
+        "page_id": _LONG,
+        "next_page": _LONG,
+        "jumps": _LONG,
+        "base": _LONG,
+        "rate": _DOUBLE,
+    },
     "top10_session": {"task_id": _LONG, "category_id": _LONG, "session_id": _TEXT, "click_count": _LONG},
     # results of the ad-click streams
     "ad_blacklist": {"user_id": _LONG},
     "ad_user_click_count": {"date": _DATE, "user_id": _LONG, "ad_id": _LONG, "click_count": _LONG},
     "ad_stat": {"date": _DATE, "province": _TEXT, "city": _TEXT, "ad_id": _LONG, "click_count": _LONG},
     "ad_province_top3": {"date": _DATE, "province": _TEXT, "ad_id": _LONG, "click_count": _LONG},
+    "ad_click_pane": {"date": _DATE, "pane": _TIME, "ad_id": _LONG, "click_count": _LONG},
+    "ad_click_arrivals": {"date": _DATE, "click_count": _LONG},
     "ad_click_trend": {"date": _DATE, "hour": _TEXT, "minute": _TEXT, "ad_id": _LONG, "click_count": _LONG},
 }
 

@@ -48,22 +48,48 @@ class ParquetTables:
 
 @dataclass(frozen=True)
 class JdbcTables:
-    """Result tables in a database reachable by JDBC. Its driver must be on the class path."""
+    """Result tables in a database reachable by JDBC. Its driver must be on the class path.
+
+    A task's rows are first written to a table of their own, in parallel, and then moved in one transaction that deletes what the task has
+    written before. So a task can run again, whether it failed or not.
+    """
 
     url: str
     options: dict[str, str] = field(default_factory=dict)
 
     def write_task_rows(self, df: DataFrame, table: str, task_id: int, by: tuple[str, ...] = ()) -> None:
-        """Insert a task's rows. Lists are stored as comma text, as most databases have no list type.
-
-        This appends: before a task runs again, its rows have to be deleted in the database.
-        """
-        self._write(as_text(conform(df, table, task_id=task_id)), table, "append")
+        """Put a task's rows in the place of those it has written before. Lists are stored as comma text, as most databases have no list type."""
+        staged, task_id = f"{table}_task_{int(task_id)}", int(task_id)
+        rows = as_text(conform(df, table, task_id=task_id))
+        self._write(rows, staged, "overwrite")
+        columns = ", ".join(rows.columns)
+        self._execute(
+            df.sparkSession,
+            f"DELETE FROM {table} WHERE task_id = {task_id}",
+            f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staged}",
+            f"DROP TABLE {staged}",
+        )
 
     def publish(self, df: DataFrame, table: str) -> None:
         """Replace a table's content, keeping its definition: for the current state of a stream's tables."""
         self._write(as_text(conform(df, table)), table, "overwrite", truncate="true")
 
+    def _execute(self, spark: SparkSession, *statements: str) -> None:
+        """Run statements on the driver's own connection, all or none."""
+        settings = spark._jvm.java.util.Properties()
+        for name, value in self.options.items():
+            settings.setProperty(name, value)
+        if driver := self.options.get("driver"):
+            spark._jvm.java.lang.Class.forName(driver)
+        connection = spark._jvm.java.sql.DriverManager.getConnection(self.url, settings)
+        try:
+            connection.setAutoCommit(False)
+            for statement in statements:
+                connection.createStatement().executeUpdate(statement)
+            connection.commit()
+        finally:
+            connection.close()
+
     def _write(self, rows: DataFrame, table: str, mode: str, **options: str) -> None:
         writer = rows.write.format("jdbc").options(url=self.url, dbtable=table, **self.options, **options)
         writer.mode(mode).save()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import times
@@ -36,15 +36,47 @@ def file_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.options(**options).text(path).select(F.col("value").alias("line"))
 
 
-def parse_ad_log(lines: DataFrame, metrics: str | None = "ad_log") -> DataFrame:
+#: Why a line is dropped, in the order in which it is looked at.
+DEFECTS = ("empty", "short", "time", "user", "ad")
+
+
+def line_defect(line: Column) -> Column:
+    """Why ``line`` is dropped, one of DEFECTS; null for a readable line. A null line is empty."""
+    parts = F.split(line, " ")
+    number = lambda name, limit: F.get(parts, FIELDS.index(name)).rlike(f"^{_number(limit)}$")
+    return (
+        F.when(line.isNull() | (line == ""), "empty")
+        .when(line.rlike(READABLE), None)
+        .when(F.size(parts) < len(FIELDS), "short")
+        .when(~number("millis", LAST_MILLIS), "time")
+        .when(~number("user_id", LAST_ID), "user")
+        .otherwise("ad")
+    )
+
+
+def observed_lines(lines: DataFrame, metrics: str | Observation) -> DataFrame:
+    """``lines``, counting on the way: ``lines`` in all, ``dropped``, and ``dropped_…`` for each of DEFECTS."""
+    defect = line_defect(F.col("line"))
+    counts = [F.count_if(defect == d).alias(f"dropped_{d}") for d in DEFECTS]
+    return lines.observe(metrics, F.count(F.lit(1)).alias("lines"), F.count(defect).alias("dropped"), *counts)
+
+
+def log_quality(spark: SparkSession, observation: Observation) -> DataFrame:
+    """(reason, lines) of an observation by ``observed_lines`` whose lines have been read: all lines, and those dropped for each reason."""
+    found = observation.get
+    rows = [("all", found["lines"]), *((d, found[f"dropped_{d}"]) for d in DEFECTS)]
+    return spark.createDataFrame(rows, "reason string, lines bigint")
+
+
+def parse_ad_log(lines: DataFrame, metrics: str | Observation | None = "ad_log") -> DataFrame:
     """Typed clicks from ``line``. Lines that are short or whose numbers do not read are dropped.
 
-    The numbers of lines and of dropped lines are observed under the name ``metrics``; a stream reports them in its
-    progress. None observes nothing. Times after LAST_MILLIS count as unreadable, as they have no date of four digits.
+    The numbers of lines and of dropped lines by reason are observed under the name ``metrics``; a stream reports them in its
+    progress, and ``log_quality`` makes rows of an Observation. None observes nothing. Times after LAST_MILLIS count as unreadable, as they have no date of four digits.
     """
     readable = F.col("line").rlike(READABLE)
     if metrics is not None:
-        lines = lines.observe(metrics, F.count(F.lit(1)).alias("lines"), F.count_if(~readable).alias("dropped"))
+        lines = observed_lines(lines, metrics)
     # One pattern decides on the raw line, so that the line is split once and only when it is kept.
     parts = F.split("line", " ")
     field = {name: F.get(parts, i) for i, name in enumerate(FIELDS)}

@@ -90,6 +90,21 @@ class Fixtures:
             "if(c_custkey % 2 = 0, 'male', 'female') as sex",
         )
 
+    def defective_ad_lines(self) -> DataFrame:
+        """The ad log with lines that do not read, by user and time: cut short, without numbers, too large, empty, null; some have more fields."""
+        kind = (F.split("line", " ")[3].cast("bigint") + F.unix_millis("ts")) % 17
+        line = (
+            F.when(kind == 0, F.substring_index("line", " ", 4))
+            .when(kind == 1, F.concat(F.lit("x"), "line"))
+            .when(kind == 2, F.regexp_replace("line", r" \d+ (\d+)$", " -u $1"))
+            .when(kind == 3, F.concat("line", F.lit("99999999999999999999")))
+            .when(kind == 4, "")
+            .when(kind == 5, None)
+            .when(kind == 6, F.concat("line", F.lit(" more fields")))
+            .otherwise(F.col("line"))
+        )
+        return self.ad_lines().select("ts", line.alias("line"))
+
     def ad_lines(self) -> DataFrame:
         """One log line per event: province is the customer's region, city the nation. ``ts`` comes along for slicing."""
         places = (

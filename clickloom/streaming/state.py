@@ -7,7 +7,7 @@ checkpoint; tables and checkpoint therefore live and are removed together.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 from functools import reduce
 
@@ -147,9 +147,10 @@ class DailyCounts(_BatchFolders):
         return parts.where((F.col("upto") > above) & (F.col("upto") <= upto)).select(*self.schema.names)
 
     def totals(
-        self, batch_id: int, dates: Iterable[str] | None = None, touched_only: bool = False
+        self, batch_id: int, dates: Iterable[str] | None = None, touched: Sequence[str] = ()
     ) -> DataFrame:
-        """Running totals after ``batch_id``, for the given dates, or just the keys the batch has added to."""
+        """Running totals after ``batch_id``, for the given dates, or just for what the batch has added to: the rows that share its
+        values of the ``touched`` columns, ``date`` among them."""
         first, second = self._last_fold(batch_id), self._last_fold(batch_id, 2)
         parts = [
             self._batches(range(first, batch_id + 1)),
@@ -159,11 +160,11 @@ class DailyCounts(_BatchFolders):
         rows = reduce(DataFrame.unionByName, (part for part in parts if part is not None))
         if dates is not None:
             rows = rows.where(F.col("date").isin([date.fromisoformat(d) for d in dates]))
-        if touched_only:
-            added = self.added(batch_id).select(*self.keys)
+        if touched:
+            added = self.added(batch_id).select(*touched)
             # Days between the years -6060 and 9999, so a few million at the very most; they prune the folded parts.
             rows = rows.join(F.broadcast(added.select("date").distinct()), "date", "left_semi")
-            rows = rows.join(added, self.keys, "left_semi")
+            rows = rows.join(added, list(touched), "left_semi")
         return self._combined(rows)
 
 

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date, datetime
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from clickloom.operators import ads
 from clickloom.operators.upsert import upsert_accumulate, upsert_replace
-from clickloom.sources.adlog import file_lines, kafka_lines, parse_ad_log
+from clickloom.sources.adlog import DEFECTS, file_lines, kafka_lines, log_quality, parse_ad_log
 from frames import Recorder, lines, log_line
 
 NOON = datetime(2024, 3, 1, 12, 0, 30)
@@ -63,6 +65,16 @@ def test_dropped_lines_are_counted(spark, tmp_path):
     assert (observed["lines"], observed["dropped"]) == (3, 2)
 
 
+def test_lines_are_dropped_for_a_reason(spark):
+    good = log_line(NOON, "p", "c", 7, 3)
+    bad = {"": "empty", "x": "short", "1 p c 7": "short", "t p c 7 3": "time", "99999999999999999999 p c 7 3": "time", "1 p c seven 3": "user", "1 p c 7 3x": "ad", "1 p c 7 ": "ad", "t p c u a": "time"}
+    observation = Observation()
+    assert parse_ad_log(lines(spark, good, good + " more", None, *bad), metrics=observation).count() == 2
+    got = dict(map(tuple, log_quality(spark, observation).collect()))
+    want = Counter([*bad.values(), "empty"])
+    assert got == {"all": len(bad) + 3, **{d: want[d] for d in DEFECTS}}
+
+
 def _clicks(spark, *rows):
     """Rows of (hour, province, city, user, ad)."""
     return parse_ad_log(lines(spark, *(log_line(datetime(2024, 3, 1, h), *rest) for h, *rest in rows)))

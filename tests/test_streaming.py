@@ -7,9 +7,9 @@ from datetime import date, datetime
 
 import pytest
 
-from clickloom.operators import ads
+from clickloom.operators import ads, sliding
 from clickloom.sources.adlog import file_lines, parse_ad_log
-from clickloom.streaming.ads import ClickStream, start_running_stat, start_trend
+from clickloom.streaming.ads import ArrivalStream, ClickStream, late_clicks, start_running_stat, start_sliding, start_trend
 from clickloom.streaming.state import last_batch
 from frames import lines, log_line
 
@@ -246,3 +246,54 @@ def test_an_unreached_threshold_gives_the_plain_counts(spark, rows, three_files,
     _finish(stream.start(clicks, available_now=True))
     assert rows(stream.tables()["ad_stat"]) == rows(ads.city_click_counts(_all_clicks(spark, three_files)))
     assert rows(stream.tables()["ad_blacklist"]) == []
+
+
+def _stored_top(stream, rows):
+    return rows(stream.top_ads.read(stream.spark, "ad_province_top3"))
+
+
+@pytest.mark.parametrize("fold_every", [64, 2])
+def test_the_stored_top_ads_equal_the_ranked_counts_after_each_batch(spark, rows, tmp_path, fold_every):
+    stream = ClickStream(spark, str(tmp_path), threshold=4, fold_every=fold_every)
+    for i, batch in enumerate(_random_batches(4, 77)):
+        for _ in range(1 + i % 2):  # some batches run twice
+            stream.process(_clicks(spark, batch), i)
+        ranked = ads.province_top_ads(ads.province_click_counts(stream.city_counts.totals(i)))
+        assert _stored_top(stream, rows) == rows(ranked.select("date", "province", "ad_id", "click_count"))
+    assert rows(stream.tables(["2024-03-02"])["ad_province_top3"]) == [r for r in _stored_top(stream, rows) if r[0] == date(2024, 3, 2)]
+
+
+def test_only_the_groups_of_a_batch_are_ranked_again(spark, tmp_path):
+    stream = ClickStream(spark, str(tmp_path))
+    stream.process(_clicks(spark, [(1, "p_1", "c", 1, 1), (1, "p_2", "c", 1, 1), (2, "p_1", "c", 1, 1)]), 0)
+    folder = tmp_path / "ranked" / "ad_province_top3"
+    written = lambda: {str(f.relative_to(folder).parent): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+    before = written()
+    stream.process(_clicks(spark, [(1, "p_2", "c", 2, 3)]), 1)
+    changed = {group for group, at in written().items() if at != before.get(group)}
+    assert changed == {"date=2024-03-01/province=p_2"}
+
+
+def test_late_clicks_are_accounted_for(spark, rows, tmp_path):
+    log = tmp_path / "log"
+    slices = [[_line(1, hour=1), _line(1, hour=5)], [_line(1, hour=4), _line(2, hour=1), _line(3, hour=1, ad=2), _line(1, hour=9)], [_line(5, hour=1)]]
+    for i, texts in enumerate(slices):
+        _write(log, f"{i}.txt", texts, 1000 + i)
+        clicks = parse_ad_log(file_lines(spark, str(log)))
+        trend, query = start_trend(spark, clicks, str(tmp_path / "trend"), watermark="2 hours", available_now=True)
+        _finish(query)
+        arrivals = ArrivalStream(spark, str(tmp_path / "arrivals"))
+        _finish(arrivals.start(clicks, available_now=True))
+    # minutes that ended two hours before the latest click have left the state
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1
+    assert [(r.arrived, r.counted, r.late) for r in late_clicks(arrivals.table(), trend.table()).collect()] == [(7, 4, 3)]
+    arrivals.process(parse_ad_log(lines(spark, *slices[2])), last_batch(spark, arrivals.root))
+    assert [(r.arrived, r.late) for r in late_clicks(arrivals.table(), trend.table()).collect()] == [(7, 3)]
+
+
+def test_the_sliding_stream_equals_batch(spark, rows, three_files, tmp_path):
+    clicks = parse_ad_log(file_lines(spark, str(three_files), maxFilesPerTrigger="1"))
+    stream, query = start_sliding(spark, clicks, str(tmp_path / "s"), available_now=True)
+    _finish(query)
+    batch = parse_ad_log(spark.read.text(str(three_files)).withColumnRenamed("value", "line"))
+    assert rows(sliding.sliding_click_counts(stream.table())) == rows(sliding.sliding_click_counts(sliding.pane_click_counts(batch)))

@@ -58,6 +58,22 @@ def test_the_five_tables(spark, inputs, tmp_path):
     assert [r.order_category_ids for r in ordered] == [[3], [3]]
 
 
+def test_a_page_flow_gives_its_conversion(spark, inputs, tmp_path):
+    flow = {"startDate": ["2024-03-01"], "endDate": ["2024-03-01"], "endAge": ["50"], "startAge": ["0"], "targetPageFlow": ["1,2,9"]}
+    log = actions(
+        spark,
+        *(action("s1", at, user_id=1, page_id=page) for at, page in enumerate((1, 2, 1, 2, 9))),
+        action("s2", 0, user_id=2, page_id=1),
+        *(action("s3", at, user_id=3, page_id=page) for at, page in enumerate((1, 2))),
+    )
+    task = spark.createDataFrame([(5, "t", None, None, None, None, None, json.dumps(flow))], schema_of("task"))
+    results = ParquetTables(str(tmp_path))
+    run_session_task(spark, 5, SessionTables(log, inputs.users, task), results)
+    # the user of s3 is too old
+    got = sorted(map(tuple, results.read(spark, "page_conversion").collect()))
+    assert got == [(5, 1, 1, 2, 2, 3, 0.6667), (5, 2, 2, 9, 1, 2, 0.5)]
+
+
 def test_running_again_replaces_and_other_tasks_stay(spark, inputs, tmp_path):
     results = ParquetTables(str(tmp_path))
     first = _run(spark, inputs, results, 1)
@@ -90,17 +106,20 @@ def test_groups_are_replaced_whole(spark, rows, tmp_path):
     assert got == [("2024-03-01", "100", 3, 9), ("2024-03-01", "a_b", 1, 1), ("2024-03-02", "100", 1, 1)]
 
 
-def test_database_rows_are_appended_as_text(spark, monkeypatch):
+def test_database_rows_are_staged_as_text(spark, monkeypatch):
     writer = Recorder()
+    said = []
+    monkeypatch.setattr(JdbcTables, "_execute", lambda self, session, *statements: said.extend(statements))
     monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.write", property(lambda self: writer))
     df = spark.createDataFrame([(1, 5, 0, 0)], "category_id bigint, click_count bigint, order_count bigint, pay_count bigint")
     JdbcTables("jdbc:mysql://host/db", {"user": "me"}).write_task_rows(df, "top10_category", 4)
     assert writer.calls == [
         ("format", ("jdbc",), {}),
-        ("options", (), {"url": "jdbc:mysql://host/db", "dbtable": "top10_category", "user": "me"}),
-        ("mode", ("append",), {}),
+        ("options", (), {"url": "jdbc:mysql://host/db", "dbtable": "top10_category_task_4", "user": "me"}),
+        ("mode", ("overwrite",), {}),
         ("save", (), {}),
     ]
+    assert [s.split()[0] for s in said] == ["DELETE", "INSERT", "DROP"]
 
 
 def test_a_database_table_is_published_whole(spark, monkeypatch):
