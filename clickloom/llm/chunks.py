@@ -4,7 +4,7 @@ The public byte-level and word-level tokenizers split a text before they merge,
 white space and ends after it but at the start of the piece, and none goes on from a letter to a sign. So a text can be cut before a run
 of white space, and between a letter and a sign, without changing its ids. ``ChunkEncoder`` finds the cuts of a block of texts with array operations, hashes the chunks, has the
 chunks that it has not met encoded, and lays out the ids by copying. Its memory is bounded: it forgets all
-chunks when it knows ``MOST_CHUNKS``.
+chunks when it knows ``MOST_CHUNKS`` or ``MOST_IDS``. A text that holds a string of a special token is not cut but encoded whole, where such strings count.
 
 A cut is made only before an ASCII white-space byte after a character that surely is none: an ASCII character, or one of
 two UTF-8 bytes beyond U+00BF; or before an ASCII sign after an ASCII letter.
@@ -15,10 +15,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from tokenizers import Tokenizer
 
 from clickloom.llm.batches import ASCII_SPACE, Block, list_offsets, ragged, span_hashes
 
 MOST_CHUNKS = 800_000
+MOST_IDS = 8_000_000
+AT_ONCE = 200
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _SIGN = np.zeros(256, bool)
@@ -46,8 +49,11 @@ def chunk_bounds(block: Block) -> tuple[np.ndarray, np.ndarray]:
 
 
 class ChunkEncoder:
-    def __init__(self, encode: Encode, dtype: type = np.uint32, most: int = MOST_CHUNKS) -> None:
+    """``specials`` are strings that must not be cut; ``encode_whole`` has the ids of a text that holds one."""
+
+    def __init__(self, encode: Encode, dtype: type = np.uint32, most: int = MOST_CHUNKS, specials: tuple[str, ...] = (), encode_whole: Callable[[str], list[int]] | None = None) -> None:
         self.encode, self.dtype, self.most = encode, dtype, most
+        self.specials, self.encode_whole = [s.encode() for s in specials], encode_whole
         self._forget()
 
     def _forget(self) -> None:
@@ -73,12 +79,33 @@ class ChunkEncoder:
 
     def __call__(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block's texts, and where each text's ids start (one more entry at the end)."""
+        if self.encode_whole is None or not (whole := self._with_specials(block)):
+            return self._by_chunks(block)
+        ids, offsets = self._by_chunks(block)
+        parts = np.split(ids, offsets[1:-1])
+        for i in whole:
+            parts[i] = np.array(self.encode_whole(block.text(i)), self.dtype)
+        return np.concatenate(parts), list_offsets(np.array([len(p) for p in parts], np.int64))
+
+    def _with_specials(self, block: Block) -> list[int]:
+        """The texts that hold a special string."""
+        raw, found = block.data.tobytes(), set()
+        for s in self.specials:
+            at = raw.find(s)
+            while at >= 0:
+                i = int(block.owner(np.array([at]))[0])
+                if at + len(s) <= block.offsets[i + 1]:
+                    found.add(i)
+                at = raw.find(s, at + 1)
+        return sorted(found)
+
+    def _by_chunks(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         starts, per_text = chunk_bounds(block)
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(len(block) + 1, np.int64)
         ends = np.append(starts[1:], len(block.data))
         different, first, which = np.unique(span_hashes(block.data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) + len(different) > self.most:
+        if len(self.known) + len(different) > self.most or self.used > MOST_IDS:
             self._forget()
         hashes = different.tolist()
         missing = [i for i, h in enumerate(hashes) if h not in self.known]
@@ -90,15 +117,17 @@ class ChunkEncoder:
         return ids, list_offsets(counts)[list_offsets(per_text)]
 
 
+def special_tokens(tokenizer: Tokenizer) -> dict[str, int]:
+    return {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
+
+
 def library_encoder(path: str) -> tuple[Encode, int]:
     """The tokenizers library's encoding by the vocabulary file at ``path``, and the number of ids.
 
     Strings of special tokens in a text are ordinary text.
     """
-    from tokenizers import Tokenizer
-
     tokenizer = Tokenizer.from_file(path)
-    special = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
+    special = special_tokens(tokenizer)
     mark, mark_id = next(iter(special.items()), (None, None))
 
     def plain(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -109,29 +138,34 @@ def library_encoder(path: str) -> tuple[Encode, int]:
     def together(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """One call for many texts: a special token after each one keeps them apart."""
         tokenizer.encode_special_tokens = False
-        ids = np.array(tokenizer.encode(mark.join(texts) + mark, add_special_tokens=False).ids, np.uint32)
+        ids = np.array(tokenizer.encode_batch_fast([mark.join(texts) + mark], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(ids == mark_id)
         return ids[ids != mark_id], np.diff(ends, prepend=-1) - 1
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = []
-        for i in range(0, len(texts), 1000):
-            some = texts[i : i + 1000]
+        for i in range(0, len(texts), AT_ONCE):
+            some = texts[i : i + AT_ONCE]
             parts.append(plain(some) if mark is None or any(s in x for x in some for s in special) else together(some))
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     return encode, tokenizer.get_vocab_size()
 
 
-_ENCODERS: dict[str, tuple[ChunkEncoder, int]] = {}
+_ENCODERS: dict[tuple[str, bool], tuple[ChunkEncoder, int]] = {}
+
 
+def worker_encoder(path: str, specials: bool = True) -> tuple[ChunkEncoder, int]:
+    """This Python worker's encoder of a vocabulary file, and the number of ids.
 
-def worker_encoder(path: str) -> tuple[ChunkEncoder, int]:
-    """This Python worker's encoder of a vocabulary file, and the number of ids."""
-    if path not in _ENCODERS:
+    With ``specials``, as in a plain call of the library, a special token's string in a text has that token's id; without, it is ordinary text.
+    """
+    if (path, specials) not in _ENCODERS:
         encode, size = library_encoder(path)
-        _ENCODERS[path] = ChunkEncoder(encode), size
-    return _ENCODERS[path]
+        whole = Tokenizer.from_file(path)
+        names = tuple(special_tokens(whole)) if specials else ()
+        _ENCODERS[path, specials] = ChunkEncoder(encode, specials=names, encode_whole=lambda text: whole.encode(text, add_special_tokens=False).ids), size
+    return _ENCODERS[path, specials]
 
 
 def with_end_ids(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,10 +1,10 @@
 """Token ids in Arrow files of equal-length sequences, and random access to them.
 
 Documents are ordered by id over range partitions; each partition becomes one Arrow file (the stream format with its footer) of record batches of
-``BATCH`` sequences: ``ids``, a fixed-size list of unsigned integers, and ``mask``, a fixed-size list of booleans, false where the
-last sequence of a file is padded. The ids of a partition's documents fill its sequences without a gap. A second Arrow file
+``BATCH`` sequences: ``ids``, a fixed-size list of unsigned integers, and ``mask``, a fixed-size list of bytes, 0 where the
+last sequence of a file is padded, else 1. The ids of a partition's documents fill its sequences without a gap. A second Arrow file
 beside it lists the documents: id, place of the first token in the file, number of tokens. Local files are read by memory
-map, without copying; others through pyarrow's file systems.
+map, ids and masks without copying; others through pyarrow's file systems.
 
 A task writes files whose names no other attempt uses and reports them in its row of the manifest, which is committed by Spark:
 what a failed attempt leaves is in no manifest. Files go to the shared folder given.
@@ -41,7 +41,7 @@ class SequenceWriter:
     def __init__(self, path: str, dtype: np.dtype, length: int = LENGTH) -> None:
         self.length, self.dtype, self.tokens = length, dtype, 0
         kind = pa.list_(pa.field("item", pa.from_numpy_dtype(dtype), nullable=False), length)
-        self.schema = pa.schema([("ids", kind), ("mask", pa.list_(pa.field("item", pa.bool_(), nullable=False), length))])
+        self.schema = pa.schema([("ids", kind), ("mask", pa.list_(pa.field("item", pa.uint8(), nullable=False), length))])
         files, at = pafs.FileSystem.from_uri(path)
         self.sink = files.open_output_stream(at)
         self.file = pa.ipc.new_file(self.sink, self.schema)
@@ -60,7 +60,7 @@ class SequenceWriter:
             self.waiting, self.held = [ids[len(ids) // whole * whole :]], len(ids) % whole
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = np.arange(len(ids)) < real
+        mask = (np.arange(len(ids)) < real).astype(np.uint8)
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((ids, mask), self.schema, strict=True)]
         self.file.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
 
@@ -88,9 +88,10 @@ class SequenceFile:
         return self._ids
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids and mask of the i-th sequence."""
+        """The ids and the boolean mask of the i-th sequence, as views of the file."""
         rows = self.file.get_batch(i // BATCH)
-        return rows.column("ids")[i % BATCH].values.to_numpy(), rows.column("mask")[i % BATCH].values.to_numpy(zero_copy_only=False)
+        ids, mask = (rows.column(c)[i % BATCH].values.to_numpy(zero_copy_only=True) for c in ("ids", "mask"))
+        return ids, mask.view(bool)
 
     def tokens(self, start: int, n: int) -> np.ndarray:
         whole = self.length * BATCH
