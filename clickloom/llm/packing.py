@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.batches import byte_blocks
+from clickloom.llm.batches import byte_blocks, different, ragged
 from clickloom.llm.chunks import with_end_ids, worker_encoder
 from clickloom.session import scratch_path, stored
 
@@ -50,12 +50,9 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
         for batch in batches:
             for block in byte_blocks(batch.column(1)):
                 ids, offsets = with_end_ids(*encoder(block), end_id)
-                for i in range(0, len(block), 64):
-                    some = offsets[i : i + 65]
-                    has = np.zeros((len(some) - 1, size), bool)
-                    inner = np.delete(ids[some[0] : some[-1]], some[1:] - some[0] - 1)  # without the end ids
-                    has[np.repeat(np.arange(len(some) - 1), np.diff(some) - 1), inner] = True
-                    seen += np.count_nonzero(has, axis=0)
+                inner = np.delete(ids, offsets[1:] - 1).astype(np.int64)  # without the end ids
+                held = different(np.repeat(np.arange(len(block)) * size, np.diff(offsets) - 1) + inner)
+                seen += np.bincount(held % size, minlength=size)
                 small = ids.astype(np.uint16 if size <= 1 << 16 else np.uint32)
                 packed = [packer.compress(small[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[block.rows], pa.array(np.diff(offsets)), pa.array(packed, pa.binary()), pa.nulls(len(block), pa.int32())], schema=_TOKENISED)
@@ -88,10 +85,15 @@ class Index:
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for all terms of ``seed``."""
         terms = self.term_of[self.first_of[seed] : self.first_of[seed + 1]]
-        found = np.zeros(self.n)
-        for a, b in zip(self.first[terms], self.first[terms + 1], strict=True):
-            found[self.doc[a:b]] += self.weight[a:b]
-        return found
+        posts = ragged(self.first[terms], self.first[terms + 1] - self.first[terms])
+        return np.bincount(self.doc[posts], self.weight[posts], self.n)
+
+
+def nearest(scores: np.ndarray, k: int = 24) -> np.ndarray:
+    """The documents of the k highest scores, and all that tie with the last of them, by falling score and then by place."""
+    least = np.partition(scores, -k)[-k] if len(scores) > k else -np.inf
+    best = np.flatnonzero(scores >= max(least, np.nextafter(0, 1)))
+    return best[np.argsort(-scores[best], kind="stable")]
 
 
 def packed_shard(documents: list[np.ndarray], idf: np.ndarray, mean_length: float, length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:
@@ -114,8 +116,7 @@ def packed_shard(documents: list[np.ndarray], idf: np.ndarray, mean_length: floa
         if filled < length:
             scores = index.scores(seed)
             scores[~free] = 0
-            best = np.argpartition(-scores, 24)[:24] if len(scores) > 24 else np.arange(len(scores))
-            ranked = iter(best[np.lexsort((best, -scores[best]))].tolist())
+            ranked = iter(nearest(scores).tolist())
             while filled < length:
                 near = next(ranked, -1)
                 if near < 0 or not scores[near] > 0 or not free[near]:
@@ -236,6 +237,7 @@ def placed(documents: DataFrame, shared: Broadcast, shards: int, shard_tokens: i
             yield pa.RecordBatch.from_arrays([pa.array(leaf), batch["doc_id"], batch["n"], batch["ids"], batch["lot"]], ["leaf", "doc_id", "n", "ids", "lot"])
 
     rows = documents.select("doc_id", "n", "ids", "lot").mapInArrow(place, "leaf bigint, doc_id bigint, n bigint, ids binary, lot bigint")
+    rows = stored(rows, scratch_path(spark, "placed"))  # so that each document goes down the tree once
     tokens = dict(rows.groupBy("leaf").agg(F.sum("n")).collect())  # MOST_LEAVES rows at most
     parts = [max(1, round(tokens.get(leaf, 0) / shard_tokens)) for leaf in range(1 << depth)]
     first = np.cumsum([0, *parts])[:-1].tolist()

@@ -6,15 +6,17 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as public
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from clickloom.llm import bpe, packing, token_files
+from clickloom.llm import bpe, chunks, packing, token_files
+from clickloom.llm.batches import byte_blocks
 from clickloom.session import scratch_path
 
-ODD = ["", None, "  a  b ", "\n\n x  y  z", "it's 's we'll  '", "''s a'S", "<|endoftext|> a", "é́ ́a É", "a\x0b\x0c b\r\n", "\u3000 x \u00a0 y\u0085 z", "Aİ ß ΑΣ Σ", "日本 語 12 345", "x" * 3000 + " y", "  ", "\t", "a.b,c!?d 1.5%", "don't you'd I'm"]
+ODD = ["", None, "  a  b ", "\n\n x  y  z", "it's 's we'll  '", "''s a'S", "<|endoftext|> a", "a <|startoftext|> b<|endoftext|>", "x<|endoftext|", "|>", "é́ ́a É", "a\x0b\x0c b\r\n", "\u3000 x \u00a0 y\u0085 z", "Aİ ß ΑΣ Σ", "日本 語 12 345", "x" * 3000 + " y", "  ", "\t", "a.b,c!?d 1.5%", "don't you'd I'm"]
 
 
 @pytest.fixture
@@ -27,7 +29,6 @@ def texts(spark):
 
 def library_ids(name, texts):
     tokenizer = Tokenizer.from_file(public.path(name))
-    tokenizer.encode_special_tokens = True
     return [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for t in texts]
 
 
@@ -43,6 +44,8 @@ def test_token_files_round_trip(spark, texts):
         file = token_files.SequenceFile(row.sequences)
         count = -(-row.n_tokens // 16)
         ids, mask = file.sequence(count - 1)
+        mapped = file.source.size()
+        assert not ids.flags.owndata and not mask.flags.owndata and abs(ids.ctypes.data - mask.ctypes.data) < mapped
         assert len(ids) == 16 and mask.sum() == row.n_tokens - 16 * (count - 1)
         assert (file.tokens(0, row.n_tokens)[-int(mask.sum()) :] == ids[mask]).all()
 
@@ -119,6 +122,29 @@ def test_packing_asks_with_every_term_of_the_seed():
         assert np.allclose(index.scores(next(i for i, d in enumerate(documents) if d is seed)), want)
 
 
+def test_packing_breaks_ties_by_the_smaller_place():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        scores = rng.integers(0, 4, 100) / 2
+        want = sorted((i for i in range(100) if scores[i] > 0), key=lambda i: (-scores[i], i))
+        got = packing.nearest(scores, 24).tolist()
+        assert len(got) >= min(24, len(want)) and got == want[: len(got)]
+    assert packing.nearest(np.zeros(30)).tolist() == []
+
+
+def test_an_encoder_with_little_memory_or_plain_specials(monkeypatch):
+    texts = [t or "" for t in ODD] * 2
+    whole = next(byte_blocks(pa.array(texts)))
+    tokenizer = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    for specials in (True, False):
+        tokenizer.encode_special_tokens = not specials
+        monkeypatch.setattr(chunks, "MOST_IDS", 5)
+        encoder, _ = chunks.worker_encoder(public.path("byte_bpe_50k.json"), specials)
+        for _ in range(2):
+            ids, offsets = encoder(whole)
+            assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_places_related_documents_in_one_shard(spark):
     rng = random.Random(3)
     topics = [[f"w{t}x{rng.randint(0, 10**6)}" for _ in range(12)] for t in range(16)]
