@@ -20,7 +20,9 @@ sets: 100 * intersection >= 75 * union. Components come from alternating large a
 
 Case: only A-Z are lowered. Words end at space and tab to carriage return. Fewer than five words are one shingle; no word or a null text is an
 empty set, linked with nothing. Rows of one id and text are linked by their equal sets and share a component. A null id counts for a
-component's id only if it has no other. Extra columns are ignored by ``mark_near_copies`` and kept by ``without_near_copies``.
+component's id only if it has no other. Extra columns are ignored by ``mark_near_copies`` and kept by ``without_near_copies``, which judges each row by its own
+text: rows of one id with different texts are different documents, and of a component one row stays, that of the smallest id (null ids last; of
+equal ids with different sets the one of the smaller set hash).
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.llm import bloom
 from clickloom.llm.batches import ASCII_SPACE, Block, binary_column, byte_blocks, column_bytes, list_offsets, lower_ascii, mixed, ragged, runs, span_hashes
@@ -334,9 +337,8 @@ def connected(links: DataFrame, keep) -> DataFrame:
         before = now
 
 
-def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles, component_id (the smallest id of its component) and kept."""
-    job = _Job(docs, id_col, text_col)
+def _placed(job: _Job) -> DataFrame:
+    """(doc_id, n, node, component) of each row; without shingles the last two are null."""
     members = job.buckets()
     links = job.links(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     components = connected(links, job.keep)
@@ -344,8 +346,14 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     components = connected(links, job.keep)
     links = links.unionByName(job.other_links(job.unsettled(members, components)))
     components = connected(links, job.keep)
-    placed = job.prints.select("doc_id", "n", "node").join(components, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component"))
-    placed = job.keep(placed, "components")
+    placed = job.prints.select("doc_id", "n", "node").join(components, "node", "left").select("doc_id", "n", "node", F.coalesce("component", "node").alias("component"))
+    return job.keep(placed, "components")
+
+
+def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id (the smallest id of its component) and kept."""
+    job = _Job(docs, id_col, text_col)
+    placed = _placed(job)
     ids = job.keep(placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id")), "ids")
     named = placed.join(ids, "component", "left")
     component_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -353,12 +361,36 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that are not the smallest id of their component. Texts that surely stay are not shuffled."""
-    marks = mark_near_copies(docs, id_col, text_col)
-    dropped = stored(marks.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct(), scratch_path(docs.sparkSession, "near-dropped"))
-    blocks = bloom.block_count(dropped.count())
+    """``docs`` with one row of each component, and all rows without a word. Texts that surely stay are not shuffled."""
+    job = _Job(docs, id_col, text_col)
+    rows = _placed(job).where("component is not null").select("component", "doc_id", "node")
+    # the smallest id, then the smallest set hash: two steps, each with a fixed-size aggregate
+    several = rows.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")).where("size > 1")
+    several = job.keep(rows.join(several.select("component", "least"), "component"), "several")
+    stays = several.where(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("component").agg(F.min("node").alias("stays"))
+    marks = several.join(stays, "component").select(F.col("doc_id").alias("__id"), F.col("node").alias("__set"), (F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("node") == F.col("stays"))).alias("__stays"))
+    marks = job.keep(marks.distinct(), "marks")
+    blocks = bloom.block_count(marks.count())
     key = F.xxhash64(F.col(f"`{id_col}`").cast("bigint"))
-    bits = stored(bloom.key_filter(dropped.select(*bloom.cell(F.xxhash64("__dropped"), blocks))), scratch_path(docs.sparkSession, "near-bits"))
+    bits = job.keep(bloom.key_filter(marks.select(*bloom.cell(F.xxhash64("__id"), blocks))), "marked-bits")
     marked = bloom.tested(docs, key, bits, blocks, "__maybe")
-    rest = marked.where("__maybe").join(dropped, F.col(f"`{id_col}`").cast("bigint") == F.col("__dropped"), "left_anti")
-    return marked.where(~F.col("__maybe")).drop("__maybe").unionByName(rest.drop("__maybe"))
+    own = F.col("__own").eqNullSafe(F.col("__id")) & F.col("__node").eqNullSafe(F.col("__set"))
+    rest = with_node(marked.where("__maybe").drop("__maybe"), text_col).withColumn("__own", F.col(f"`{id_col}`").cast("bigint")).join(marks, own, "left")
+    alone = rest.where("__stays is null").select(docs.columns)
+    # of rows with one id and one set, which are copies, one stays
+    first = rest.where("__stays").dropDuplicates(["__own", "__node"]).select(docs.columns)
+    return marked.where(~F.col("__maybe")).drop("__maybe").unionByName(alone).unionByName(first)
+
+
+def with_node(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with the hash of each text's set as ``__node``, null without a word."""
+    place = docs.columns.index(text_col)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in byte_blocks(batch.column(place)):
+                own = batch.slice(block.rows.start, len(block))
+                nodes = pa.array([node_of(s) if len(s) else None for s in shingle_sets(block)], pa.int64())
+                yield pa.RecordBatch.from_arrays([*own.columns, nodes], [*own.schema.names, "__node"])
+
+    return docs.mapInArrow(describe, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))

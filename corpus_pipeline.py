@@ -20,8 +20,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those far from every language."""
-    return langid.with_language(docs, langid.train(docs)).where(~F.col("rejected")).select(docs.columns)
+    """Drop documents without a letter and those far from every language; with no labelled one, no language is known and none is far."""
+    model = langid.train(docs)
+    if not model.languages:
+        return docs
+    # the columns travel as one, as some may be named like the model's
+    whole = docs.select(F.struct(*docs.columns).alias("__doc"), F.col("text").alias("__text"))
+    return langid.with_language(whole, model, "__text").where(~F.col("rejected")).select("__doc.*")
 
 
 def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

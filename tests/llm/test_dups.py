@@ -87,6 +87,31 @@ def test_near_copies_of_odd_rows(odd_docs):
     assert {1, 2, 3, 5, 6, 7, 9, None, 10} <= {r.doc_id for r in left.collect()}
 
 
+def test_one_row_of_each_component_stays(spark, prose):
+    """Repeated and null ids, columns named like ours: of each component one row, of the smallest id, and every clean row stays."""
+    base, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, base), (2, base + " x"), (2, other), (None, base + " y"), (None, "quite another text of six"), (3, base), (1, base), (None, None), (4, ""), (4, "")]
+    rows += [(None, f"only null {other} z"), (None, f"only null {other} z z")] + [(i + 10, t) for i, t in prose]
+    docs = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id bigint, text string, node string").selectExpr("*", "1 as component", "2 as band", "doc_id as row", "true as kept")
+    left = near_dups.without_near_copies(docs)
+    assert left.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in left.collect()]
+    components = {}
+    sets = [shingles(t) for _, t in rows]
+    own = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = own[i], own[j]
+                own = [b if x == a else x for x in own]
+    for i, row in enumerate(rows):
+        components.setdefault(own[i] if sets[i] else ("none", i), []).append(row)
+    want = [min(members, key=lambda r: (r[0] is None, r[0] or 0))[0] for members in components.values()]
+    assert sorted(map(str, want)) == sorted(str(i) for i, _ in left)
+    assert len(left) == len(components) and (2, other) in left and (None, "quite another text of six") in left
+    assert near_dups.without_near_copies(docs.limit(0)).collect() == []
+
+
 def test_near_copies_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert near_dups.mark_near_copies(docs).count() == 0
