@@ -3,7 +3,9 @@
 DataFrame functions and Spark's own boosted trees only. The trees learn from the URLs that a rule decides: those are the labelled
 ones. At most about ``MAX_LABELLED`` distinct ones are taken to fit the trees, evenly by the hash of the URL; the rest of the
 work covers every row. The suffix statistics count all distinct labelled URLs: one row for each last label of a host, and
-for each of those with the first directory of the path.
+for each of those with the first directory of the path. What a URL learns of its suffix leaves out its own suffix and directory, in training as
+in judging: labels come from rules, which decide such a group as a whole, so a statistic with the own group would hold the label itself and
+say nothing of groups that no rule decides.
 
 A null URL or one without ``://`` has an empty host and path; it is judged by the trees like an empty text. With no
 labelled URL, or labels of one kind only, that kind (else "allow") is the verdict of all other rows. Repeated rows
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from clickloom.session import scratch_path, stored
 
 MAX_LABELLED = 20_000
-FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_dashes", "f_suffix_rate", "f_suffix_count", "f_start_rate", "f_start_count")
+FEATURES = ("f_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_dashes", "f_suffix_rate", "f_suffix_count")
 KEYS = {"suffix": ["__suffix"], "start": ["__suffix", "__start"]}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -100,17 +102,17 @@ def with_features(pages: DataFrame, statistics: dict[str, DataFrame], url_col: s
     }
     out = _with_keys(pages.withColumns(plain))
     for name, keys in KEYS.items():
-        out = out.join(statistics[name], keys, "left")
-        out = out.fillna(0.5, [f"f_{name}_rate"]).fillna(0.0, [f"f_{name}_count"])
-    return out.drop("__suffix", "__start")
+        out = out.join(statistics[name], keys, "left").fillna(0.0, [f"__{name}_n", f"__{name}_blocked"])
+    others, blocked = (F.col(f"__suffix_{x}") - F.col(f"__start_{x}") for x in ("n", "blocked"))
+    out = out.withColumns({"f_suffix_rate": (blocked + 1) / (others + 2), "f_suffix_count": F.log1p(others)})
+    return out.drop("__suffix", "__start", *(f"__{name}_{x}" for name in KEYS for x in ("n", "blocked")))
 
 
 def suffix_statistics(labelled: DataFrame) -> dict[str, DataFrame]:
-    """Written tables of (keys, smoothed share of blocked, log of count), a row for each value of the KEYS."""
-    n, blocked = F.count(F.lit(1)), F.sum("label")
+    """Written tables of (keys, count, number of blocked), a row for each value of the KEYS."""
     tables = {}
     for name, keys in KEYS.items():
-        rows = _with_keys(labelled).groupBy(keys).agg(((blocked + 1) / (n + 2)).alias(f"f_{name}_rate"), F.log1p(n.cast("double")).alias(f"f_{name}_count"))
+        rows = _with_keys(labelled).groupBy(keys).agg(F.count(F.lit(1)).cast("double").alias(f"__{name}_n"), F.sum("label").alias(f"__{name}_blocked"))
         tables[name] = stored(rows, scratch_path(labelled.sparkSession, f"url-{name}"))
     return tables
 
@@ -125,7 +127,7 @@ def labelled_urls(judged: DataFrame, url_col: str, most: int) -> tuple[DataFrame
 
 def judged_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "url", most_labelled: int = MAX_LABELLED, trees: int = 12, depth: int = 3) -> DataFrame:
     """``pages`` with host, path, rule, verdict and score (how likely the trees hold it to be blocked)."""
-    pages = pages.drop("host", "path", "rule", "rule_verdict", "verdict", "score", "__suffix", "__start", *FEATURES)
+    pages = pages.drop("host", "path", "rule", "rule_verdict", "verdict", "score", "__suffix", "__start", *FEATURES, *(f"__{name}_{x}" for name in KEYS for x in ("n", "blocked")))
     judged = with_rule(with_host_and_path(pages, url_col), rules)
     labelled, sample = labelled_urls(judged, url_col, most_labelled)
     counts = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked")).first()
