@@ -35,6 +35,7 @@ END_ID = 1
 SHARD_TOKENS = 1 << 20
 LEAF_SAMPLE, MOST_LEAVES = 16, 1 << 14
 SKETCH = 64
+TERMS_AT_ONCE = 1 << 15
 K1, B = 1.2, 0.75
 _TOKENISED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("term", pa.int32())])
 
@@ -170,10 +171,21 @@ class Sketches:
 
     def __call__(self, documents: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(documents), SKETCH), np.float32)
-        for i, ids in enumerate(documents):
-            term, tf = np.unique(ids[:-1], return_counts=True)
-            weight = self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / self.mean))
-            out[i] = weight.astype(np.float32) @ self.signs[term]
+        lengths = np.array([len(d) for d in documents])
+        first = 0
+        while first < len(documents):
+            # about TERMS_AT_ONCE tokens, at least a document
+            last = max(first + 1, int(np.searchsorted(np.cumsum(lengths[first:]), TERMS_AT_ONCE, "right")) + first)
+            own = np.repeat(np.arange(first, last), lengths[first:last] - 1)
+            cells = np.sort(own * len(self.idf) + np.concatenate([d[:-1] for d in documents[first:last]]))
+            heads = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else cells
+            doc, term = np.divmod(cells[heads], len(self.idf))
+            tf = np.diff(np.append(heads, len(cells)))
+            weight = self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / self.mean))
+            starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc
+            if len(doc):
+                out[doc[starts]] = np.add.reduceat(weight.astype(np.float32)[:, None] * self.signs[term], starts)
+            first = last
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
