@@ -37,6 +37,7 @@ LEAF_SAMPLE, MOST_LEAVES = 16, 1 << 14
 SKETCH = 64
 TERMS_AT_ONCE = 1 << 15
 K1, B = 1.2, 0.75
+COMMON = 0.2
 _TOKENISED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("term", pa.int32())])
 
 
@@ -82,12 +83,21 @@ class Index:
         self.term_of = term[by_doc]
         self.first_of = np.searchsorted(self.doc[by_doc], np.arange(len(documents) + 1))
         self.n = len(documents)
+        # the postings of common terms as whole rows, which are added faster
+        common = np.flatnonzero(np.diff(self.first) >= max(1, self.n * COMMON))
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        row = self.row[term]
+        self.rows = np.zeros((len(common), self.n))
+        self.rows[row[row >= 0], self.doc[row >= 0]] = self.weight[row >= 0]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for all terms of ``seed``."""
         terms = self.term_of[self.first_of[seed] : self.first_of[seed + 1]]
-        posts = ragged(self.first[terms], self.first[terms + 1] - self.first[terms])
-        return np.bincount(self.doc[posts], self.weight[posts], self.n)
+        row = self.row[terms]
+        rare = terms[row < 0]
+        posts = ragged(self.first[rare], self.first[rare + 1] - self.first[rare])
+        return np.bincount(self.doc[posts], self.weight[posts], self.n) + self.rows[row[row >= 0]].sum(axis=0)
 
 
 def nearest(scores: np.ndarray, k: int = 24) -> np.ndarray:
