@@ -13,6 +13,7 @@ two UTF-8 bytes beyond U+00BF; or before an ASCII sign after an ASCII letter.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -152,6 +153,12 @@ def library_encoder(path: str) -> tuple[Encode, int]:
     return encode, tokenizer.get_vocab_size()
 
 
+@lru_cache(maxsize=1)
+def _plain_tokenizer(path: str) -> Tokenizer:
+    """Loaded only where a text holds a special token's string, as a vocabulary takes tens of megabytes."""
+    return Tokenizer.from_file(path)
+
+
 _ENCODERS: dict[tuple[str, bool], tuple[ChunkEncoder, int]] = {}
 
 
@@ -162,9 +169,8 @@ def worker_encoder(path: str, specials: bool = True) -> tuple[ChunkEncoder, int]
     """
     if (path, specials) not in _ENCODERS:
         encode, size = library_encoder(path)
-        whole = Tokenizer.from_file(path)
-        names = tuple(special_tokens(whole)) if specials else ()
-        _ENCODERS[path, specials] = ChunkEncoder(encode, specials=names, encode_whole=lambda text: whole.encode(text, add_special_tokens=False).ids), size
+        names = tuple(special_tokens(Tokenizer.from_file(path))) if specials else ()
+        _ENCODERS[path, specials] = ChunkEncoder(encode, specials=names, encode_whole=lambda text: _plain_tokenizer(path).encode(text, add_special_tokens=False).ids), size
     return _ENCODERS[path, specials]
 
 

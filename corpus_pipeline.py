@@ -24,9 +24,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = langid.train(docs)
     if not model.languages:
         return docs
-    # the columns travel as one, as some may be named like the model's
-    whole = docs.select(F.struct(*docs.columns).alias("__doc"), F.col("text").alias("__text"))
-    return langid.with_language(whole, model, "__text").where(~F.col("rejected")).select("__doc.*")
+    # columns named like the model's keep their values under other names meanwhile
+    aside = {c: f"__own_{c}" for c in docs.columns if c in ("lang_pred", "score", "rejected")}
+    kept = langid.with_language(docs.withColumnsRenamed(aside), model).where(~F.col("rejected"))
+    return kept.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
