@@ -30,6 +30,9 @@ HEADLINE = (
     "ad_stat",
     "ad_province_top3",
     "ad_click_trend",
+    "ad_click_sliding",
+    "ad_log_quality",
+    "ad_upsert_stored",
     "ad_upsert_replace",
     "ad_upsert_accumulate",
     "ad_stream_tables",
