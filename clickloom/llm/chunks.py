@@ -3,7 +3,7 @@
 The public byte-level and word-level tokenizers split a text before they merge, and none of their pieces begins before
 white space and ends after it but at the start of the piece, and none goes on from a letter to a sign. So a text can be cut before a run
 of white space, and between a letter and a sign, without changing its ids. ``ChunkEncoder`` finds the cuts of a block of texts with array operations, hashes the chunks, has the
-chunks that it has not met encoded, and lays out the ids by copying. Its memory is bounded: it forgets all
+chunks that it has not met encoded, and lays out the ids by copying. The hashes it knows are a sorted array, not a dictionary. Its memory is bounded: it forgets all
 chunks when it knows ``MOST_CHUNKS`` or ``MOST_IDS``. A text that holds a string of a special token is not cut but encoded whole, where such strings count.
 
 A cut is made only before an ASCII white-space byte after a character that surely is none: an ASCII character, or one of
@@ -58,16 +58,18 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        # hashes of the known chunks in order, and where each one stands in starts and counts
+        self.hashes = np.zeros(0, np.uint64)
+        self.places = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 16, self.dtype)
         self.starts = np.zeros(1 << 14, np.int64)
-        self.counts = np.zeros(1 << 14, np.int64)
+        self.counts = np.zeros(1 << 14, np.int32)
         self.used = 0
 
-    def _learn(self, block: Block, hashes: list[int], starts: np.ndarray, ends: np.ndarray) -> None:
+    def _learn(self, block: Block, at: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         raw = block.data.tobytes()
         ids, counts = self.encode([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-        first, n = len(self.known), len(hashes)
+        first, n = len(self.hashes), len(hashes)
         while len(self.starts) < first + n:
             self.starts, self.counts = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.counts, 2 * len(self.counts))
         while len(self.ids) < self.used + len(ids):
@@ -76,7 +78,8 @@ class ChunkEncoder:
         self.starts[first : first + n] = self.used + np.cumsum(counts) - counts
         self.counts[first : first + n] = counts
         self.used += len(ids)
-        self.known.update(zip(hashes, range(first, first + n), strict=True))
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.places = np.insert(self.places, at, np.arange(first, first + n))
 
     def __call__(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block's texts, and where each text's ids start (one more entry at the end)."""
@@ -106,14 +109,17 @@ class ChunkEncoder:
             return np.zeros(0, self.dtype), np.zeros(len(block) + 1, np.int64)
         ends = np.append(starts[1:], len(block.data))
         different, first, which = np.unique(span_hashes(block.data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) + len(different) > self.most or self.used > MOST_IDS:
+        if len(self.hashes) + len(different) > self.most or self.used > MOST_IDS:
             self._forget()
-        hashes = different.tolist()
-        missing = [i for i, h in enumerate(hashes) if h not in self.known]
-        if missing:
-            self._learn(block, [hashes[i] for i in missing], starts[first[missing]], ends[first[missing]])
-        place = np.fromiter(map(self.known.__getitem__, hashes), np.int64, len(hashes))[which]
-        counts = self.counts[place]
+        at = np.searchsorted(self.hashes, different)
+        missing = np.ones(len(different), bool)
+        inside = at < len(self.hashes)
+        missing[inside] = self.hashes[at[inside]] != different[inside]
+        if missing.any():
+            self._learn(block, at[missing], different[missing], starts[first[missing]], ends[first[missing]])
+            at = np.searchsorted(self.hashes, different)
+        place = self.places[at][which]
+        counts = self.counts[place].astype(np.int64)
         ids = self.ids[ragged(self.starts[place], counts)]
         return ids, list_offsets(counts)[list_offsets(per_text)]
 
@@ -122,8 +128,8 @@ def special_tokens(tokenizer: Tokenizer) -> dict[str, int]:
     return {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
 
 
-def library_encoder(path: str) -> tuple[Encode, int]:
-    """The tokenizers library's encoding by the vocabulary file at ``path``, and the number of ids.
+def library_encoder(path: str) -> tuple[Encode, int, tuple[str, ...]]:
+    """The tokenizers library's encoding by the vocabulary file at ``path``, the number of ids and the special tokens.
 
     Strings of special tokens in a text are ordinary text.
     """
@@ -150,7 +156,7 @@ def library_encoder(path: str) -> tuple[Encode, int]:
             parts.append(plain(some) if mark is None or any(s in x for x in some for s in special) else together(some))
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
-    return encode, tokenizer.get_vocab_size()
+    return encode, tokenizer.get_vocab_size(), tuple(special)
 
 
 @lru_cache(maxsize=1)
@@ -168,9 +174,8 @@ def worker_encoder(path: str, specials: bool = True) -> tuple[ChunkEncoder, int]
     With ``specials``, as in a plain call of the library, a special token's string in a text has that token's id; without, it is ordinary text.
     """
     if (path, specials) not in _ENCODERS:
-        encode, size = library_encoder(path)
-        names = tuple(special_tokens(Tokenizer.from_file(path))) if specials else ()
-        _ENCODERS[path, specials] = ChunkEncoder(encode, specials=names, encode_whole=lambda text: _plain_tokenizer(path).encode(text, add_special_tokens=False).ids), size
+        encode, size, names = library_encoder(path)
+        _ENCODERS[path, specials] = ChunkEncoder(encode, specials=names if specials else (), encode_whole=lambda text: _plain_tokenizer(path).encode(text, add_special_tokens=False).ids), size
     return _ENCODERS[path, specials]
 
 
