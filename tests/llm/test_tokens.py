@@ -183,3 +183,19 @@ def test_perfect_hash_is_minimal():
     found, slots = bpe.PerfectHash.build(hashes)
     assert sorted(slots.tolist()) == list(range(len(hashes)))
     assert (found(hashes) == slots).all()
+
+
+@pytest.mark.parametrize("most", [3, 40, 100_000])
+def test_chunk_cache_forgets_and_grows(most):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(["ab", "c,d", "été", "x" * 40, "7", "q\n"], k=rng.randint(0, 30))) for _ in range(400)]
+    encode, _, _ = chunks.library_encoder(public.path("byte_bpe_50k.json"))
+    encoder = chunks.ChunkEncoder(encode, most=most)
+    expected = [ids[:-1] for ids in library_ids("byte_bpe_50k.json", texts)]
+    for _ in range(2):  # the second time from what is known
+        found = []
+        for block in byte_blocks(pa.array(texts), 500):
+            ids, offsets = encoder(block)
+            found += np.split(ids, offsets[1:-1])
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(found, expected, strict=True))
+        assert (np.diff(encoder.hashes.astype(object)) > 0).all() and sorted(encoder.places) == list(range(len(encoder.hashes)))
