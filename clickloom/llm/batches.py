@@ -13,7 +13,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
+SENT_BYTES = 4 << 20
+_SENT = "spark.sql.execution.arrow.maxBytesPerBatch"
 BLOCK_BYTES = 1 << 20
 BLOCK_ROWS = 2048
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -43,6 +46,15 @@ class Block:
         return np.searchsorted(self.offsets, positions, "right") - 1
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Have Spark cut what it sends to Python tasks at about ``SENT_BYTES``, unless the session has a bound of its own.
+
+    By rows alone, ten thousand long texts or sets are one batch, held in the JVM, in its transfer buffers and in the worker at once.
+    """
+    if _SENT not in spark.conf.getAll:
+        spark.conf.set(_SENT, SENT_BYTES)
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and offsets of a string or binary column; a null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -1,4 +1,7 @@
-"""From raw documents to packed training sequences, as stages that each read what the one before has written."""
+"""From raw documents to packed training sequences, as stages that each read what the one before has written.
+
+The stages share executors, so those with Python tasks bound the batches that Spark sends to them by bytes.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import exact_dups, langid, near_dups, packing, quality
+from clickloom.llm.batches import bound_batches
 from clickloom.session import scratch_path, stored
 
 LEAST_QUALITY = 0.3
@@ -14,6 +18,7 @@ LEAST_QUALITY = 0.3
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality classifier, trained on the labelled documents, rejects."""
+    bound_batches(spark)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.with_quality(docs, model, score_col="__score")
     return scored.where(F.col("__score") >= LEAST_QUALITY).select(docs.columns)
@@ -21,6 +26,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those far from every language; with no labelled one, no language is known and none is far."""
+    bound_batches(spark)
     model = langid.train(docs)
     if not model.languages:
         return docs
@@ -37,11 +43,13 @@ def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies."""
+    bound_batches(spark)
     return near_dups.without_near_copies(docs).select(docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fill training sequences with documents that share words."""
+    bound_batches(spark)
     return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

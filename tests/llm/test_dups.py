@@ -124,6 +124,16 @@ def test_blocks_of_a_bucket_see_all_pairs(spark, prose, monkeypatch):
     assert got(near_dups.mark_near_copies(docs)) == brute_components(prose)
 
 
+def test_near_copies_in_small_batches(spark, prose):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(key)
+    spark.conf.set(key, 20_000)
+    try:
+        assert got(near_dups.mark_near_copies(spark.createDataFrame(prose, "doc_id bigint, text string").coalesce(2))) == brute_components(prose)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_bayes_bounds_miss_few():
     rng = np.random.default_rng(1)
     left = rng.integers(0, 1 << 32, (20_000, near_dups.HASHES), dtype=np.uint32)

@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from check import both, duck
-from clickloom.llm import ann, chat, langid, quality, queries, url_filter
+from clickloom.llm import ann, batches, chat, langid, quality, queries, url_filter
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -213,3 +213,19 @@ def test_pipeline_stages(spark):
     assert left["exact_dups"] < left["language"] and left["near_dups"] < left["exact_dups"]
     packed = corpus_pipeline.STAGES[-1][1](spark, before, SF_DIR)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == left["near_dups"]
+
+
+def test_pipeline_bounds_what_it_sends(spark, prose):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame(prose, "doc_id bigint, text string").coalesce(2)
+    pack = dict(corpus_pipeline.STAGES)["packing"]
+    before = spark.conf.getAll.get(key)
+    results = []
+    try:
+        for own in (None, 20_000):  # a bound of the session's own stays; small batches change no row
+            spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+            results.append(sorted(map(tuple, pack(spark, docs, SF_DIR).drop("ids").collect())))
+            assert int(spark.conf.get(key)) == (own or batches.SENT_BYTES)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    assert results[0] == results[1] and {r[0] for r in results[0]} == {i for i, _ in prose}
